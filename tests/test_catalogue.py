@@ -1,0 +1,170 @@
+"""The eighteen-row feed through every batch job, twice."""
+
+from pathlib import Path
+
+import pytest
+
+from printfold.plans import audit, ingest, publish
+from printfold.schema import CARDS, CHILDREN, FORMATS, child_schema
+from printfold.sources.store import read_appended, read_table
+
+BASE = "https://pictures.example/cards"
+
+
+def key(n):
+    return f"00000000-0000-0000-0000-{n:012d}"
+
+
+def hexkey(n):
+    return key(n).replace("-", "")
+
+
+# key -> front, back, type, subtypes, cost, power, toughness, price, tix
+FOLDED = {
+    1: ("l03", None, "Creature", ["Elemental Fox"], 3, "2", "1+*", 50.0, 2.0),
+    2: ("n18", None, "Creature", ["Elf // Creature", "Wolf"], 4, "3.5", "+2", None, None),
+    3: ("c09", None, "Card // Card", [], 0, "0", "0", 0.0, 10.0),
+    4: ("f10", "b10", "Legendary Creature", ["Elf Warrior", "Aura"], 3, "3", "3", 200.0, None),
+    5: ("l11", "l11", "Instant", [], 1, "0", "0", 25.0, None),
+    6: ("f12", "b12", "Creature", ["Beast"], 1, None, None, 400.0, 100.0),
+    8: ("z14", None, "Creature", [""], 2, "*", "-1", None, None),
+    9: ("g15", None, "Land", [], 0, "0", "0", None, 5.0),
+}
+
+# key -> toughness, power, price, rank, rarity, mana cost
+LOADED = {
+    1: (1, 2, 50.0, 7, 4, "{2}{R}"),
+    2: (2, 3, 100.0, 99999, 2, "{2/W}{W/P}"),
+    3: (0, 0, 10.0, 99999, 2, None),
+    4: (3, 3, 200.0, 99999, 3, "{10}{W/U}"),
+    5: (0, 0, 25.0, 99999, 1, "{R}"),
+    6: (None, None, 400.0, 99999, 4, "{X}{C}{S}"),
+    8: (-1, None, 100.0, 99999, None, "{U}{B}"),
+    9: (0, 0, 5.0, 99999, 1, None),
+}
+
+COLOR_IDS = {1: [4], 2: [1], 3: [5], 4: [1, 2], 5: [], 6: [5], 8: [2, 3], 9: []}
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture(scope="module")
+def run(spark, feed, tmp_path_factory):
+    """Both rounds: first without pictures, then with everything on the fetch list present."""
+    root = tmp_path_factory.mktemp("catalogue")
+    store, target, reports, images = (str(root / n) for n in ("store", "target", "reports", "images"))
+    Path(images).mkdir()
+    rounds = []
+    for _ in range(2):
+        result = ingest(spark, feed, store, images)
+        audit(spark, store, reports, images)
+        publish(spark, store, target, BASE)
+        tables = {t: rows(read_table(spark, target, t)) for t in ("cards", *CHILDREN)}
+        tables["card_prints"] = rows(
+            read_appended(spark, f"{target}/card_prints", child_schema("card_prints"))
+        )
+        fetch = read_table(spark, reports, "fetch_list").collect()
+        rounds.append({
+            "result": result,
+            "tables": tables,
+            "fetch": fetch,
+            "report": read_table(spark, reports, "integrity_report").collect(),
+            "manifest": read_table(spark, store, "manifest").collect(),
+            "uploads": read_table(spark, target, "uploads").collect(),
+        })
+        for row in fetch:
+            path = Path(images) / row.file
+            path.parent.mkdir(exist_ok=True)
+            path.write_bytes(b"png")
+    return {"store": store, "target": target, "rounds": rounds}
+
+
+def test_counts(run):
+    assert run["rounds"][0]["result"] == {"version": 1, "valid": 13}
+    assert run["rounds"][1]["result"] == {"version": 2, "valid": 13}
+
+
+def test_fold(spark, run):
+    cards = {c.oracle_id: c for c in read_table(spark, run["store"], "cards").collect()}
+    assert set(cards) == {key(n) for n in FOLDED}
+    for n, expected in FOLDED.items():
+        c = cards[key(n)]
+        found = (c.front, c.back, c.type, c.subtypes, c.total_mana_cost, c.power, c.toughness,
+                 c.price, c.tix)
+        assert found == expected, n
+    assert cards[key(1)].sid == "p03" and cards[key(9)].sid == "p15"
+    assert cards[key(8)].keywords == ["Flying", "Flying"]
+    assert cards[key(4)].texts == ["Rise."] and cards[key(4)].flavor_texts == ["Dark."]
+    assert cards[key(4)].face_names == ["Day", "Night"] and cards[key(4)].mana_costs == ["{10}{W/U}"]
+    assert cards[key(8)].name == "  Lim-Dûl's  Vault "
+    assert cards[key(1)].legalities == {"standard": True, "modern": False}
+
+
+def test_manifest(run):
+    first, second = (r["manifest"] for r in run["rounds"])
+    assert len(first) == len(second) == 15
+    assert sum(r.side == "back" for r in first) == 3
+    assert {r.status for r in first} == {"new"} and {r.status for r in second} == {"old"}
+
+
+def test_fetch_and_report(run):
+    first, second = run["rounds"]
+    assert len(first["fetch"]) == 18 and second["fetch"] == []
+    arts = {r.oracle_id: r.url for r in first["fetch"] if r.side == "art"}
+    assert arts == {key(1): "a03", key(4): "a10", key(8): "a14"}
+    assert {r.file for r in first["fetch"] if r.oracle_id == key(4)} == {
+        f"{key(4)}/p10-front.png", f"{key(4)}/p10-back.png", f"{key(4)}/art.png"
+    }
+    assert len(first["report"]) == 18 and second["report"] == []
+    assert {r.name for r in first["report"] if r.oracle_id == key(4)} == {"Day // Night"}
+
+
+def test_main_table(spark, run):
+    table = read_table(spark, run["target"], "cards")
+    assert table.schema.simpleString() == CARDS.simpleString() and len(table.columns) == 37
+    cards = {c.oracle_id: c for c in table.collect()}
+    for n, expected in LOADED.items():
+        c = cards[hexkey(n)]
+        assert (c.toughness, c.power, c.price, c.edh_rank, c.rarity, c.manaCost) == expected, n
+        assert [f for f in FORMATS if c[f]] == (["standard"] if n == 1 else [])
+    fox = cards[hexkey(1)]
+    assert fox.front == f"{BASE}/{fox.id}-20210501-front.png" and fox.back is None
+    assert fox.art == f"{BASE}/{fox.id}-art.png" and fox.set_name == "Ash"
+    assert cards[hexkey(5)].back.endswith("-20200404-back.png") and cards[hexkey(5)].art is None
+
+
+def test_children(spark, run):
+    cards = {c.id: c.oracle_id for c in read_table(spark, run["target"], "cards").collect()}
+    colors = {hexkey(n): [] for n in COLOR_IDS}
+    for row in read_table(spark, run["target"], "card_colors").collect():
+        colors[cards[row.card_id]].append(row.color_id)
+    assert {k: sorted(v) for k, v in colors.items()} == {hexkey(n): v for n, v in COLOR_IDS.items()}
+    keywords = read_table(spark, run["target"], "card_keywords").collect()
+    assert [cards[r.card_id] for r in keywords] == [hexkey(8)] * 2
+    assert len({r.id for r in keywords}) == 2
+    prints = read_appended(
+        spark, f"{run['target']}/card_prints", child_schema("card_prints")
+    ).collect()
+    assert len(prints) == 12 and len({r.id for r in prints}) == 12
+    assert sorted(p.released for p in prints if cards[p.card_id] == hexkey(1)) == [
+        20190101, 20200110, 20210501, 20210501
+    ]
+    assert [p.released for p in prints if cards[p.card_id] == hexkey(9)].count(None) == 1
+
+
+def test_uploads(run):
+    first, second = (r["uploads"] for r in run["rounds"])
+    assert len(first) == 18 and {r.side for r in second} == {"art"}
+    day = {r.object_key for r in first if r.oracle_id == key(4)}
+    card_id = next(r.id for r in first if r.oracle_id == key(4))
+    assert day == {
+        f"cards/{card_id}-20200303-front.png", f"cards/{card_id}-20200303-back.png",
+        f"cards/{card_id}-art.png",
+    }
+
+
+def test_second_run_changes_nothing(run):
+    first, second = (r["tables"] for r in run["rounds"])
+    assert first == second
