@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from printfold.schema import CARD_DOC
 
 
+VERSIONS = "version long, source string"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """The recorded versions and what each was made from."""
+    return read_appended(spark, f"{root}/versions", VERSIONS)
+
+
 def current_version(spark: SparkSession, root: str) -> int:
     """The last recorded version, 0 before the first."""
-    try:
-        versions = spark.read.schema("version long").parquet(f"{root}/versions")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    return versions.agg(F.max("version")).first()[0] or 0
+    return versions(spark, root).agg(F.max("version")).first()[0] or 0
 
 
 def table_path(root: str, version: int, name: str) -> str:
@@ -36,16 +38,16 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None, version=N
 
 
 class Snapshot:
-    """A version being written."""
+    """A version being written; ``source`` names what it is made from, such as a stream's batch."""
 
-    def __init__(self, spark: SparkSession, root: str, version: int = None):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, source: str = None):
+        self.spark, self.root, self.source = spark, root, source
         self.previous = current_version(spark, root)
-        self.version = version or self.previous + 1
+        self.version = self.previous + 1
 
-    @property
-    def exists(self) -> bool:
-        return self.version <= self.previous
+    def done(self) -> bool:
+        """Whether a version from the same source is recorded already."""
+        return not versions(self.spark, self.root).where(F.col("source") == self.source).isEmpty()
 
     def path(self, name: str) -> str:
         return table_path(self.root, self.version, name)
@@ -53,15 +55,18 @@ class Snapshot:
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table and return it as stored, which also ends its lineage."""
         df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def before(self, name: str, schema) -> DataFrame:
         """The table as of the previous version."""
         return read_table(self.spark, self.root, name, schema, self.previous)
 
     def commit(self) -> int:
-        row = self.spark.range(1).select(F.lit(self.version).cast("long").alias("version"))
-        row.write.mode("append").parquet(f"{self.root}/versions")
+        row = self.spark.range(1).select(
+            F.lit(self.version).cast("long").alias("version"),
+            F.lit(self.source).cast("string").alias("source"),
+        )
+        append(row, f"{self.root}/versions")
         return self.version
 
 

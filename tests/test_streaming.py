@@ -1,0 +1,71 @@
+"""Streams against the batch jobs on the same feed, older printings arriving last."""
+
+from pathlib import Path
+
+import pytest
+
+from printfold.functions.predicates import has_front, is_valid
+from printfold.operators.flatten import flatten_prints
+from printfold.operators.fold import checked, fold_cards
+from printfold.schema import CARDS, CHILDREN, child_schema
+from printfold.sources.feed import read_json_array, stream_json_array
+from printfold.sources.store import Snapshot, current_version, read_appended, read_table
+from printfold.streaming.fold import fold_stream, read_folded, write_changes
+from printfold.streaming.load import append_print_batches, upsert_batches
+
+BASE = "https://pictures.example/cards"
+
+
+@pytest.fixture(scope="module")
+def parts(feed, tmp_path_factory):
+    """The feed cut into three files read one per batch; the oldest printing of card 1 is last."""
+    lines = Path(feed).read_text(encoding="utf8").splitlines()[1:-1]
+    late = [line for line in lines if '"p04"' in line]
+    rest = [line for line in lines if '"p04"' not in line]
+    folder = tmp_path_factory.mktemp("parts")
+    for i, chunk in enumerate((rest[:9], rest[9:], late)):
+        (folder / f"{i}.json").write_text("\n".join(chunk), encoding="utf8")
+    return str(folder)
+
+
+def flat(raw):
+    return flatten_prints(raw.where(is_valid())).where(has_front())
+
+
+def comparable(df):
+    return sorted(str(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_stream_folds_like_batch(spark, parts, folder):
+    stream = fold_stream(flat(stream_json_array(spark, parts, files_per_batch=1)))
+    query = write_changes(stream, folder("out"), folder("checkpoint"))
+    query.awaitTermination()
+    assert len(list(Path(folder("out")).glob("batch=*"))) == 3
+    streamed = read_folded(spark, folder("out"), ["oracle_id"])
+    batch = fold_cards(checked(flat(read_json_array(spark, parts)).drop("pos")))
+    assert comparable(streamed) == comparable(batch)
+    fox = streamed.where("sid = 'p03'").first()
+    assert fox.price == 50.0  # the late printing's, although it set nothing else
+
+
+def test_stream_loads_tables(spark, parts, folder):
+    target = folder("target")
+    prints = flat(stream_json_array(spark, parts, files_per_batch=1))
+    upsert_batches(fold_stream(prints), target, BASE, folder("c1")).awaitTermination()
+    append_print_batches(prints, target, folder("c2")).awaitTermination()
+
+    cards = read_table(spark, target, "cards", CARDS).collect()
+    assert len(cards) == 8 and current_version(spark, target) == 3
+    assert {c.price for c in cards if c.name == "Ember Fox"} == {50.0}
+    ids = {c.id for c in cards}
+    for table in CHILDREN:
+        children = read_table(spark, target, table).collect()
+        assert {c.card_id for c in children} <= ids
+        assert len({c.id for c in children}) == len(children)
+    added = read_appended(spark, f"{target}/card_prints", child_schema("card_prints")).collect()
+    assert len(added) == 12 and {p.card_id for p in added} == ids
+
+    # The same input from the start again: nothing is added twice.
+    append_print_batches(prints, target, folder("c3")).awaitTermination()
+    assert read_appended(spark, f"{target}/card_prints", child_schema("card_prints")).count() == 12
+    assert Snapshot(spark, target, source=f"{folder('c1')}#0").done()
