@@ -73,15 +73,11 @@ def media_columns(layout: Column, faces: Column, images: Column, two_sided) -> d
     Two-sided layouts show their first two faces; other layouts with faces show the top-level
     picture on both sides; a printing without faces has no back.
     """
-    face0 = F.get(faces, F.lit(0))["image_uris"]
-    face1 = F.get(faces, F.lit(1))["image_uris"]
     faced = has_items(faces)
     paired = faced & F.coalesce(layout.isin(*two_sided), F.lit(False))
-    return {
-        "front": F.when(paired, pick_image(face0)).otherwise(pick_image(images)),
-        "back": F.when(paired, pick_image(face1)).when(faced, pick_image(images)),
-        "art": F.when(paired, art_crop(face0)).otherwise(art_crop(images)),
-    }
+    front = F.when(paired, F.get(faces, F.lit(0))["image_uris"]).otherwise(images)
+    back = F.when(paired, F.get(faces, F.lit(1))["image_uris"]).when(faced, images)
+    return {"front": pick_image(front), "back": pick_image(back), "art": art_crop(front)}
 
 
 def has_items(items: Column) -> Column:
@@ -156,16 +152,13 @@ def stats_columns(faces: Column, power: Column, toughness: Column, default="0")
 def cost_value(c: Column) -> Column:
     """Sum over a cost's symbols: each digit its own value, each coloured letter one, null 0.
 
-    Counting by deletion keeps the whole rule in generated code, with no array per row.
+    One pass keeps the symbols; each then counts one, and a digit its value less one on top.
     """
-
-    def count(chars):
-        return F.length(c) - F.length(F.translate(c, chars, ""))
-
-    # A 1 is worth as much as a letter.
-    total = count(COST_LETTERS + "1")
-    for digit in range(2, 10):
-        total = total + count(str(digit)) * digit
+    symbols = F.regexp_replace(c, f"[^0-9{COST_LETTERS}]+", "")
+    total = F.length(symbols)
+    for digit in "023456789":
+        found = F.length(symbols) - F.length(F.replace(symbols, F.lit(digit), F.lit("")))
+        total = total + found * (int(digit) - 1)
     return F.coalesce(total, F.lit(0)).cast("int")
 
 
@@ -197,8 +190,10 @@ def spread_flags(m: Column, keys=FORMATS) -> list:
 
 def clean_name(c: Column) -> Column:
     """Lower-case, without anything but letters, digits, ``-``, ``_`` and single spaces."""
-    kept = F.regexp_replace(F.lower(trim(c)), r"[^a-z0-9\-_" + BLANK[1:], "")
-    return F.regexp_replace(kept, BLANK + "+", " ")
+    dropped = rf"[^a-z0-9\-_{BLANK[1:-1]}]+"
+    kept = F.regexp_replace(F.lower(trim(c)), dropped, "")
+    # A lone space is what it should be already; only other runs of blanks need replacing.
+    return F.regexp_replace(kept, f" *(?! ){BLANK}{BLANK}*| {{2,}}", " ")
 
 
 def name_key(c: Column) -> Column:

@@ -9,6 +9,7 @@ from printfold.operators.flatten import manifest_rows
 from printfold.operators.fold import count_valid
 from printfold.queries.registry import query
 from printfold.schema import COLORS, IMAGE_SIZES, RARITIES, TWO_SIDED_LAYOUTS
+from printfold.session import spread
 from printfold.sources.images import image_parts
 from printfold.sources.manifest import LINE, manifest_line, parse_delimited
 
@@ -194,7 +195,7 @@ def q_face_texts(t):
     """A document's lines as faces: their non-empty texts in order."""
     faces = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("oracle_text")))
     texts = S.collect_faces(F.col("faces"), F.lit(None).cast("string"), "oracle_text")
-    rows = t.documents.select("doc_id", faces.alias("faces")).select("doc_id", texts.alias("texts"))
+    rows = spread(t.documents).select("doc_id", faces.alias("faces")).select("doc_id", texts.alias("texts"))
     return rows.select(
         "doc_id", F.size("texts").alias("texts"), F.md5(F.array_join("texts", "\n")).alias("text_key")
     )
@@ -207,7 +208,7 @@ def q_top_texts(t):
     """Documents without faces: the text itself, as a list of none or one."""
     faces = F.lit(None).cast("array<struct<oracle_text:string>>")
     texts = S.collect_faces(faces, F.col("text"), "oracle_text")
-    rows = t.documents.select("doc_id", texts.alias("texts"))
+    rows = spread(t.documents).select("doc_id", texts.alias("texts"))
     return rows.select(
         "doc_id", F.size("texts").alias("texts"), F.md5(F.array_join("texts", "\n")).alias("text_key")
     )
@@ -223,7 +224,7 @@ def q_top_texts(t):
 def q_type_split(t):
     """Head and trimmed later pieces of the whole text, cut at full stops."""
     tail = S.type_tail(F.col("text"), ".")
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id",
         S.type_head(F.col("text"), ".").alias("head"),
         F.size(tail).alias("pieces"),
@@ -294,7 +295,7 @@ def q_any_then_first(t):
 )
 def q_cost_value(t):
     """Cost symbols over the whole text."""
-    return t.documents.select("doc_id", S.cost_value(F.col("text")).alias("cost"))
+    return spread(t.documents).select("doc_id", S.cost_value(F.col("text")).alias("cost"))
 
 
 @query(
@@ -352,7 +353,7 @@ def q_flags(t):
 )
 def q_name_key(t):
     """Key of the cleaned whole text."""
-    return t.documents.select("doc_id", S.name_key(F.col("text")).alias("name_key"))
+    return spread(t.documents).select("doc_id", S.name_key(F.col("text")).alias("name_key"))
 
 
 @query(
@@ -537,7 +538,7 @@ def q_explode_codes(t):
 )
 def q_explode_text(t):
     """Whole texts to one row per word, summed up per document."""
-    words = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    words = spread(t.documents).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
     per_form = words.groupBy("doc_id", "word").agg(
         F.count(F.lit(1)).alias("n"), F.max("pos").alias("last")
     )

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sizing (executors, shuffle partitions) belongs to the cluster; these are the settings the jobs
 # want on any of them.
@@ -41,3 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, scan: DataFrame = None) -> DataFrame:
+    """Deal rows out to all cores when their scan has fewer splits than that.
+
+    For costly per-row work on small inputs, such as one file with one row group. A large input
+    has more splits than cores and is left as it is. A stream cannot tell its splits, so ``scan``
+    may be a batch read of the same files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = (df if scan is None else scan).rdd.getNumPartitions() < cores
+    return df.repartition(cores) if few else df
