@@ -7,23 +7,19 @@ from printfold.functions.scalars import BLANK, type_head
 from printfold.schema import EXCLUDED_NAME, EXCLUDED_TYPES
 
 
-def _false_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
 def lang_is(c: Column, lang: str) -> Column:
     """Same language, letter case aside; null is rejected."""
-    return _false_if_null(F.lower(c) == lang)
+    return F.lower(c).eqNullSafe(F.lit(lang))
 
 
 def name_not_like(c: Column, pattern: str) -> Column:
     """No match anywhere, letter case aside; a null name is rejected. ``{blank}`` is any blank."""
-    return _false_if_null(~c.rlike("(?i)" + pattern.replace("{blank}", BLANK)))
+    return c.isNotNull() & ~c.rlike("(?i)" + pattern.replace("{blank}", BLANK))
 
 
 def type_head_not_in(c: Column, heads, sep="—") -> Column:
     """The part before the separator is none of ``heads``; a missing line is kept."""
-    return ~_false_if_null(type_head(c, sep).isin(*heads))
+    return c.isNull() | ~type_head(c, sep).isin(*heads)
 
 
 def is_valid(lang="lang", name="name", type_line="type_line") -> Column:
@@ -36,8 +32,8 @@ def is_valid(lang="lang", name="name", type_line="type_line") -> Column:
 
 
 def has_value(c: Column) -> Column:
-    """Neither null nor the empty string."""
-    return _false_if_null(c.cast("string") != "")
+    """Neither null nor the empty string; both tests reach a Parquet scan."""
+    return c.isNotNull() & (c != "")
 
 
 def has_front() -> Column:
@@ -45,7 +41,7 @@ def has_front() -> Column:
 
 
 def only_new(status="status") -> Column:
-    return _false_if_null(F.col(status) == "new")
+    return F.col(status).eqNullSafe(F.lit("new"))
 
 
 def require_not_null(c: Column, name: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
+NULL_SALTS = 10_000
 
 
 def hot_keys(weights: DataFrame, key: str, rows: str, rows_per_task=ROWS_PER_TASK) -> DataFrame:
@@ -33,10 +34,10 @@ def salted_join(left, right, key, how="inner", weights=None, spread=None,
     if weights is None:
         weights = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     hot = F.broadcast(hot_keys(weights, key, weights.columns[-1], rows_per_task))
+    # Rows without a key match nothing and may go anywhere.
+    salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce(F.col("_salts"), F.lit(1)))
     columns = [F.col(c) for c in (spread or left.columns)]
-    dealt = F.when(F.col("_salts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(*columns), F.col("_salts").cast("long")).cast("int")
-    )
+    dealt = F.pmod(F.xxhash64(*columns), salts.cast("long")).cast("int")
     salted_left = left.join(hot, key, "left").withColumn("_salt", dealt).drop("_salts")
     repeats = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     salted_right = right.join(hot, key, "left").withColumn("_salt", repeats).drop("_salts")

@@ -1,19 +1,19 @@
 """Card store against picture folder: what to fetch, what is missing."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from printfold.operators.media import fetch_list, integrity_report
-from printfold.sources.images import image_inventory, no_images
+from printfold.sources.images import no_images
 from printfold.sources.store import read_table, write_snapshot
 
 
-def audit(spark: SparkSession, store: str, reports: str, images: str = None) -> int:
+def audit(spark: SparkSession, store: str, reports: str, inventory: DataFrame = None) -> int:
     """Write ``fetch_list`` and ``integrity_report`` as a new version of ``reports``."""
     cards = read_table(spark, store, "cards")
     manifest = read_table(spark, store, "manifest")
-    inventory = image_inventory(spark, images) if images else no_images(spark)
+    present = no_images(spark) if inventory is None else inventory
     tables = {
-        "fetch_list": fetch_list(manifest, cards, inventory),
-        "integrity_report": integrity_report(manifest, cards, inventory),
+        "fetch_list": fetch_list(manifest, cards, present),
+        "integrity_report": integrity_report(manifest, cards, present),
     }
     return write_snapshot(spark, tables, reports)

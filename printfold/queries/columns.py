@@ -63,13 +63,14 @@ def q_is_valid(t):
 
 @query(
     """SELECT d.doc_id, l.quality FROM documents d JOIN labels l USING (doc_id)
-       WHERE l.quality IS NOT NULL AND d.text <> ''"""
+       WHERE d.text <> '' AND l.toxic = 0"""
 )
 def q_has_value(t):
-    """Documents with a label and with text."""
-    both = t.documents.join(t.labels, "doc_id", "left")
-    kept = both.where(P.has_value(F.col("quality")) & P.has_value(F.col("text")))
-    return kept.select("doc_id", "quality")
+    """Documents with text and with a harmless label: no label is null, a toxic one empty."""
+    verdict = F.when(F.col("toxic") == 1, "").otherwise("harmless").alias("front")
+    labels = t.labels.select("doc_id", "quality", verdict)
+    both = t.documents.join(labels, "doc_id", "left")
+    return both.where(P.has_front() & P.has_value(F.col("text"))).select("doc_id", "quality")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")

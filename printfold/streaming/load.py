@@ -8,7 +8,7 @@ from printfold.operators.load import append_prints, resolve_cards
 from printfold.operators.media import mark_status
 from printfold.plans.publish import load_cards
 from printfold.schema import CARDS, child_schema
-from printfold.sources.images import image_inventory, no_images
+from printfold.sources.images import no_images
 from printfold.sources.store import Snapshot, append, read_appended, read_table
 
 
@@ -38,17 +38,18 @@ def upsert_batches(folded: DataFrame, target: str, base_url: str, checkpoint: st
     return _start(folded, "update", load, checkpoint, trigger)
 
 
-def append_print_batches(prints: DataFrame, target: str, checkpoint: str, images: str = None,
+def append_print_batches(prints: DataFrame, target: str, checkpoint: str, inventory=None,
                          **trigger):
     """Start appending the new printings of each micro-batch to ``card_prints``.
 
     Ids come from the keys, so a card not yet loaded gets the id its load will give it.
+    ``inventory`` is called for the pictures there are as each batch begins.
     """
 
     def load(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        inventory = image_inventory(spark, images) if images else no_images(spark)
-        manifest = mark_status(manifest_rows(batch), inventory)
+        present = inventory() if inventory else no_images(spark)
+        manifest = mark_status(manifest_rows(batch), present)
         current = read_table(spark, target, "cards", CARDS)
         keys = resolve_cards(batch.select("oracle_id").distinct(), current)
         path = f"{target}/card_prints"

@@ -6,6 +6,7 @@ import pytest
 
 from printfold.plans import audit, ingest, publish
 from printfold.schema import CARDS, CHILDREN, FORMATS, child_schema
+from printfold.sources.images import image_inventory
 from printfold.sources.store import read_appended, read_table
 
 BASE = "https://pictures.example/cards"
@@ -58,8 +59,9 @@ def run(spark, feed, tmp_path_factory):
     Path(images).mkdir()
     rounds = []
     for _ in range(2):
-        result = ingest(spark, feed, store, images)
-        audit(spark, store, reports, images)
+        inventory = image_inventory(spark, images)
+        result = ingest(spark, feed, store, inventory)
+        audit(spark, store, reports, inventory)
         publish(spark, store, target, BASE)
         tables = {t: rows(read_table(spark, target, t)) for t in ("cards", *CHILDREN)}
         tables["card_prints"] = rows(

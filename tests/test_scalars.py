@@ -1,0 +1,193 @@
+"""Scalar rules and predicates on hand-made values, edge cases first."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from printfold.functions import predicates as P
+from printfold.functions import scalars as S
+from printfold.schema import COLORS, EXCLUDED_NAME, RARITIES, TWO_SIDED_LAYOUTS
+
+NBSP, TAB, BOM = " ", "\t", "﻿"
+
+
+def apply(spark, rule, values, dtype="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
+    return [r[1] for r in df.select("i", rule(F.col("v"))).orderBy("i").collect()]
+
+
+def check(spark, rule, pairs, dtype="string"):
+    assert apply(spark, rule, [p[0] for p in pairs], dtype) == [p[1] for p in pairs]
+
+
+def test_trim_takes_every_blank(spark):
+    check(spark, S.trim, [(f"{NBSP}{TAB} a b {BOM}\n", "a b"), ("", ""), (None, None), (NBSP, "")])
+
+
+def test_cost_value(spark):
+    check(spark, S.cost_value, [
+        ("{2}{R}", 3), ("{10}", 1), ("{W/U}", 2), ("{X}{C}", 0), ("{S}", 1), ("{2/W}{W/P}", 4),
+        ("", 0), (None, 0), ("{9}{8}{7}{6}{5}{4}{3}{2}{1}{0}", 45), ("rubgws", 0), ("{R} // {1}", 2),
+        ("٣", 0),
+    ])
+
+
+def test_prefix_int(spark):
+    check(spark, S.prefix_int, [
+        ("1+*", 1), ("*", None), ("3.5", 3), ("-1", -1), ("+2", 2), (f"{NBSP} 7x", 7), ("", None),
+        (None, None), ("- 1", None), ("007", 7),
+    ])
+
+
+def test_to_cents(spark):
+    check(spark, S.to_cents, [
+        ("1.15", 1.15 * 100), ("0.00", 0.0), (None, None), ("abc", None), ("", None), ("NaN", None),
+        ("Infinity", None), ("-Infinity", None), ("1e2", 10000.0),
+    ])
+
+
+def test_clean_name_and_key(spark):
+    check(spark, S.clean_name, [
+        ("  Lim-Dûl's  Vault ", "lim-dls vault"), (f"A{TAB}B{NBSP}C", "a b c"),
+        ("a ! b", "a b"), ("x_y-z 9", "x_y-z 9"), ("a \n b", "a b"), ("! a", " a"), ("", ""),
+        (None, None), ("K", "k"),
+    ])
+    check(spark, S.name_key, [("A", "0cc175b9c0f1b6a831c399e269772661")])
+
+
+def test_type_line(spark):
+    check(spark, S.type_head, [
+        ("Creature — Elf", "Creature"), (" Card ", "Card"), ("", ""), (None, None),
+        ("— x", ""),
+    ])
+    check(spark, S.type_tail, [
+        ("Creature — Elf Fox — B", ["Elf Fox", "B"]), ("Creature —", [""]), ("Land", []),
+        ("", []), (None, []),
+    ])
+
+
+def test_face_types(spark):
+    faces = "array<struct<type_line:string>>"
+    check(spark, S.face_type_head, [
+        ([("— a",), ("B — c",)], "B"), ([("— a",)], ""), ([(None,), ("B",)], "B"),
+        ([(None,)], None),
+    ], faces)
+    check(spark, S.face_type_tail, [
+        ([("A — b",), (None,), ("C — d — e",)], ["b", "d", "e"]), ([(None,)], []),
+    ], faces)
+
+
+def test_pick_image(spark):
+    # As JSON, for a Python dict loses its order on the way into a map.
+    def image(c):
+        return S.pick_image(F.from_json(c, "map<string,string>"))
+
+    check(spark, image, [
+        ('{"large": "l", "png": "p"}', "p"), ('{"png": "", "normal": "n"}', "n"),
+        ('{"border_crop": "b", "zz": "z"}', "b"), ('{"zz": "z", "yy": "y"}', "z"),
+        ('{"zz": ""}', None), ('{"zz": null, "yy": "y"}', None), ("{}", None), (None, None),
+    ])
+    check(spark, S.art_crop, [
+        ({"art_crop": "a"}, "a"), ({"art_crop": ""}, None), ({}, None)
+    ], "map<string,string>")
+
+
+def test_media_by_layout(spark):
+    face = "struct<image_uris:map<string,string>>"
+    schema = f"i int, layout string, faces array<{face}>, images map<string,string>"
+    two = [({"png": "f", "art_crop": "fa"},), ({"png": "b"},)]
+    top = {"png": "t", "art_crop": "ta"}
+    rows = [
+        (0, "transform", two, top), (1, "modal_dfc", two[:1], top), (2, "split", two, top),
+        (3, "normal", None, top), (4, "transform", [], top), (5, None, two, top), (6, "split", two, None),
+    ]
+    media = S.media_columns(F.col("layout"), F.col("faces"), F.col("images"), TWO_SIDED_LAYOUTS)
+    df = spark.createDataFrame(rows, schema).orderBy("i")
+    found = [tuple(r) for r in df.select(media["front"], media["back"], media["art"]).collect()]
+    assert found == [
+        ("f", "b", "fa"), ("f", None, "fa"), ("t", "t", "ta"), ("t", None, "ta"), ("t", None, "ta"),
+        ("t", "t", "ta"), (None, None, None),
+    ]
+
+
+def test_stats(spark):
+    schema = "i int, faces array<struct<power:string,toughness:string>>, power string, toughness string"
+    rows = [
+        (0, [("1", "2"), ("3", "4")], "9", "9"), (1, [(None, "2"), ("3", "4")], None, None),
+        (2, [("1", "")], "9", "9"), (3, None, "5", "6"), (4, [], "5", ""), (5, None, None, None),
+    ]
+    stats = S.stats_columns(F.col("faces"), F.col("power"), F.col("toughness"))
+    df = spark.createDataFrame(rows, schema).orderBy("i")
+    found = [tuple(r) for r in df.select(stats["power"], stats["toughness"]).collect()]
+    assert found == [("1", "2"), (None, "2"), ("0", "0"), ("5", "6"), ("0", "0"), ("0", "0")]
+
+
+def test_lists_and_flags(spark):
+    items = "array<string>"
+    check(spark, lambda c: S.first_list(c, F.array(F.lit("z"))), [(["a"], ["a"]), ([], []), (None, ["z"])], items)
+    check(spark, lambda c: S.first_list(c), [(None, [])], items)
+    check(spark, S.nonempty_items, [(["a", "", None, "b"], ["a", "b"])], items)
+    urls = "map<string,string>"
+    check(spark, S.flag_map, [
+        ({"a": "legal", "b": "banned", "c": None}, {"a": True, "b": False, "c": False}), (None, {}),
+    ], urls)
+    df = spark.createDataFrame([({"a": True, "b": False},)], "m map<string,boolean>")
+    assert tuple(df.select(*S.spread_flags(F.col("m"), ("a", "b", "c"))).first()) == (1, 0, 0)
+
+
+def test_prices_and_ranks(spark):
+    df = spark.createDataFrame(
+        [(0, 5.0, 1.0), (1, 0.0, 2.0), (2, None, 0.0), (3, None, None)], "i int, p double, t double"
+    ).orderBy("i")
+    assert [r[0] for r in df.select(S.final_price(F.col("p"), F.col("t"))).collect()] == [5, 2, 100, 100]
+    check(spark, lambda c: S.final_rank(S.truthy(c, 0)), [(7, 7), (0, 99999), (None, 99999)], "int")
+
+
+def test_codes_ids_dates(spark):
+    check(spark, lambda c: S.map_code(c, RARITIES), [("mythic", 4), ("special", None), (None, None)])
+    check(spark, lambda c: S.map_code(c, COLORS), [("W", 1), ("G", 5), ("w", None)])
+    check(spark, S.uuid_hex, [("00ab-Cd", "00ABCD"), (None, None)])
+    check(spark, S.yyyymmdd, [("2021-05-01", 20210501), ("soon", None), (None, None)])
+    ids = apply(spark, lambda c: S.surrogate_id(F.lit("t"), c), ["a", "a", "b"])
+    assert ids[0] == ids[1] != ids[2] and len(ids[0]) == 32 and ids[0] == ids[0].upper()
+
+
+def test_addresses(spark):
+    urls = S.media_urls(
+        "https://x/", F.lit("ab"), F.col("v"), F.lit(None).cast("string"), F.lit("a")
+    )
+    df = spark.createDataFrame([("2021-05-01",)], "v string")
+    row = df.select(*[c.alias(n) for n, c in urls.items()]).first()
+    assert row.front == "https://x/ab-20210501-front.png" and row.back is None
+    assert row.art == "https://x/AB-art.png"
+    key = S.object_key(F.lit("ID"), S.image_name(S.date_digits(F.col("v")), "back"))
+    assert df.select(key).first()[0] == "cards/ID-20210501-back.png"
+
+
+def test_predicates(spark):
+    check(spark, lambda c: P.lang_is(c, "en"), [("EN", True), ("fr", False), (None, False)])
+    check(spark, lambda c: P.name_not_like(c, EXCLUDED_NAME), [
+        ("2004 world championships ad", False), (f"World{NBSP}Championship\tAdx", False),
+        ("World  Championship Ad", True), ("World Championship", True), (None, False),
+    ])
+    check(spark, lambda c: P.type_head_not_in(c, ["Card"]), [
+        (" Card — List", False), ("Card // Card", True), (None, True), ("", True), ("card", True),
+    ])
+    check(spark, P.has_value, [("x", True), ("", False), (None, False)])
+
+
+def test_null_key_fails_the_job(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    with pytest.raises(PySparkException, match="v is null"):
+        df.select(P.require_not_null(F.col("v"), "v")).collect()
+    assert df.where("v is not null").select(P.require_not_null(F.col("v"), "v")).count() == 1
+
+
+def test_documents(spark):
+    doc = S.to_json_doc("a", "b")
+    df = spark.createDataFrame([(1, "x"), (None, "é\n")], "a int, b string").select(doc.alias("d"))
+    back = df.select(S.from_json_doc(F.col("d"), "a int, b string").alias("r")).select("r.*")
+    assert {tuple(r) for r in back.collect()} == {(1, "x"), (None, "é\n")}
+    bad = spark.createDataFrame([("{",)], "d string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        bad.select(S.from_json_doc(F.col("d"), "a int")).collect()
