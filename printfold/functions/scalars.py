@@ -12,6 +12,9 @@ BLANKS = (
 )
 BLANK = r"[\s\x0B\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
+# All but a-z, 0-9, "-", "_" and the space.
+DROPPED = r"[\x00-\x1f\x21-\x2c./:-^`\x{7b}-\x{10ffff}]+"
+
 # Symbols worth one in a cost; digits are worth themselves.
 COST_LETTERS = "RUBGWS"
 
@@ -40,9 +43,17 @@ def nonempty_items(items: Column) -> Column:
 
 
 def pick_first(m: Column, keys) -> Column:
-    """First non-empty map value in key order, else the map's first value; empty is null."""
-    preferred = [nonempty(m[k]) for k in keys]
-    return nonempty(F.coalesce(*preferred, F.get(F.map_values(m), F.lit(0))))
+    """First non-empty map value in key order, else the map's first value; empty is null.
+
+    The map goes through a one-item array so that the plan holds its expression once, not once per
+    key, however often the result is filtered on.
+    """
+
+    def pick(m):
+        values = F.array(*[m[k] for k in keys], F.get(F.map_values(m), F.lit(0)))
+        return F.get(nonempty_items(values), F.lit(0))
+
+    return F.get(F.transform(F.array(m), pick), F.lit(0))
 
 
 def pick_image(m: Column) -> Column:
@@ -189,11 +200,15 @@ def spread_flags(m: Column, keys=FORMATS) -> list:
 
 
 def clean_name(c: Column) -> Column:
-    """Lower-case, without anything but letters, digits, ``-``, ``_`` and single spaces."""
-    dropped = rf"[^a-z0-9\-_{BLANK[1:-1]}]+"
-    kept = F.regexp_replace(F.lower(trim(c)), dropped, "")
-    # A lone space is what it should be already; only other runs of blanks need replacing.
-    return F.regexp_replace(kept, f" *(?! ){BLANK}{BLANK}*| {{2,}}", " ")
+    """Lower-case, without anything but letters, digits, ``-``, ``_`` and single spaces.
+
+    Other blanks become spaces first; then the characters to drop are named as ranges, which the
+    regex engine tests many times faster than the negated list of those to keep.
+    """
+    odd = BLANKS.replace(" ", "")
+    spaced = F.translate(F.lower(trim(c)), odd, " " * len(odd))
+    kept = F.regexp_replace(spaced, DROPPED, "")
+    return F.regexp_replace(kept, " {2,}", " ")
 
 
 def name_key(c: Column) -> Column:
