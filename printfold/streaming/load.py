@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from printfold.operators.flatten import manifest_rows
 from printfold.operators.load import append_prints, resolve_cards
 from printfold.operators.media import mark_status
-from printfold.plans.publish import load_cards
+from printfold.plans.publish import card_tables, resolved
 from printfold.schema import CARDS, child_schema
 from printfold.sources.images import no_images
 from printfold.sources.store import Snapshot, append, read_appended, read_table
@@ -32,7 +32,8 @@ def upsert_batches(folded: DataFrame, target: str, base_url: str, checkpoint: st
     def load(batch: DataFrame, batch_id: int):
         snapshot = Snapshot(batch.sparkSession, target, source=f"{checkpoint}#{batch_id}")
         if not snapshot.done():
-            load_cards(snapshot, batch, base_url)
+            keyed = resolved(snapshot, batch)
+            snapshot.write_all(card_tables(snapshot, keyed, base_url))
             snapshot.commit()
 
     return _start(folded, "update", load, checkpoint, trigger)
