@@ -1,8 +1,14 @@
 """Queries of the operators of this subpackage over the whole driver tables."""
 
-from printfold.llm.query_chat import op10_chat_formatting, SQL_CHAT
-from printfold.llm.query_mixing import op4_mixing, SQL_MIXING
+from printfold.llm.query_chat import SQL_CHAT, op10_chat_formatting
+from printfold.llm.query_decontaminate import SQL_DECONTAMINATION, op9_decontamination
+from printfold.llm.query_fingerprints import op3_fingerprints
+from printfold.llm.query_mixing import SQL_MIXING, op4_mixing
+from printfold.llm.query_pii import op5_pii
 from printfold.llm.query_urls import op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op6_url_filter, op10_chat_formatting)}
-SQL = {"op4_mixing": SQL_MIXING, "op10_chat_formatting": SQL_CHAT}
+QUERIES = {f.__name__: f for f in (
+    op3_fingerprints, op4_mixing, op5_pii, op6_url_filter, op9_decontamination, op10_chat_formatting)}
+SQL = {
+    "op4_mixing": SQL_MIXING, "op9_decontamination": SQL_DECONTAMINATION, "op10_chat_formatting": SQL_CHAT,
+}
