@@ -178,9 +178,16 @@ def prefix_int(c: Column) -> Column:
     return F.regexp_extract(c, rf"^{BLANK}*([+-]?[0-9]+)", 1).try_cast("int")
 
 
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
 def to_cents(c: Column) -> Column:
-    """Money text in hundredths, unrounded; null stays null, as does anything but a finite number."""
-    value = c.try_cast("double")
+    """Money text in hundredths, unrounded; null stays null, as does anything but a finite number.
+
+    A cast alone would take type suffixes (``1.5d``) for numbers.
+    """
+    value = F.when(c.rlike(NUMBER), c.try_cast("double"))
     finite = F.abs(value) < float("inf")  # False for infinity, and NaN sorts above it
     return F.when(finite, value * 100)
 
@@ -241,8 +248,8 @@ def date_digits(c: Column) -> Column:
 
 
 def yyyymmdd(c: Column) -> Column:
-    """Date text as an integer yyyymmdd, null when it is no date."""
-    return date_digits(c).try_cast("int")
+    """Date text (yyyy-mm-dd) as an integer yyyymmdd, null when it is no date."""
+    return F.when(c.rlike(DAY) & c.try_cast("date").isNotNull(), date_digits(c).try_cast("int"))
 
 
 # -- addresses ----------------------------------------------------------------------------------

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from printfold.functions.predicates import require_not_null
+from printfold.functions.predicates import has_front, require_not_null
+from printfold.operators.flatten import flatten_prints, narrow_prints
 
 
 def fold(df: DataFrame, keys, order, attrs=(), lowest=()) -> DataFrame:
@@ -54,6 +55,19 @@ def fold_cards(prints: DataFrame) -> DataFrame:
     return fold(prints, [CARD_KEY], release_order(prints), attrs, FOLDED)
 
 
+def fold_narrow(prints: DataFrame) -> DataFrame:
+    """Narrow printings to cards: the winner's feed row is carried through the fold and flattened after."""
+    folded = fold(prints, [CARD_KEY], release_order(prints), ["element"], FOLDED)
+    lows = [F.col(c).alias(f"_{c}") for c in FOLDED]
+    cards = flatten_prints(folded.select("element.*", *lows), [f"_{c}" for c in FOLDED])
+    return cards.withColumns({c: F.col(f"_{c}") for c in FOLDED}).drop(*[f"_{c}" for c in FOLDED])
+
+
+def fold_feed(raw: DataFrame) -> DataFrame:
+    """Valid feed rows to cards."""
+    return fold_narrow(checked(narrow_prints(raw).where(has_front())))
+
+
 def count_valid(prints: DataFrame) -> DataFrame:
     """How many printings passed the validity tests."""
     return prints.agg(F.count(F.lit(1)).alias("valid"))

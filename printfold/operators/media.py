@@ -13,28 +13,29 @@ PICTURE = ["oracle_id", "sid", "side"]
 def mark_status(prints: DataFrame, inventory: DataFrame, keys=PICTURE) -> DataFrame:
     """``status`` old when the picture is already in the inventory, else new.
 
-    The keys name a single picture, so a card with very many printings is spread by them.
+    The keys name a single picture, so a card with very many printings is spread by them. An
+    inventory may name a picture more than once.
     """
-    present = inventory.select(*keys).withColumn("_present", F.lit(True))
+    present = inventory.select(*keys).distinct().withColumn("_present", F.lit(True))
     status = F.when(F.col("_present"), "old").otherwise("new")
     return prints.join(present, keys, "left").withColumn("status", status).drop("_present")
 
 
-def semi_back(manifest: DataFrame, cards: DataFrame, key="oracle_id", back="back", weights=None,
-              **salting) -> DataFrame:
+def semi_back(manifest: DataFrame, cards: DataFrame, key="oracle_id", back="back", **salting) -> DataFrame:
     """Manifest rows of the cards that have a back."""
     backed = cards.where(has_value(F.col(back))).select(key)
-    return salted_join(manifest, backed, key, "left_semi", weights=weights, **salting)
+    return salted_join(manifest, backed, key, "left_semi", **salting)
 
 
-def wanted(manifest: DataFrame, cards: DataFrame, *columns) -> DataFrame:
+def wanted(manifest: DataFrame, cards: DataFrame, *columns, **salting) -> DataFrame:
     """Manifest rows that count: every front, and a back when the card still has one.
 
-    ``columns`` of the card are added. A card may have very many printings, hence the salting.
+    ``columns`` of the card are added. A card may have very many printings: give ``weights`` where
+    their numbers are known.
     """
     backed = has_value(F.col("back")).alias("_backed")
     facts = cards.select("oracle_id", *columns, backed)
-    joined = salted_join(manifest, facts, "oracle_id", spread=["sid", "side"])
+    joined = salted_join(manifest, facts, "oracle_id", **salting)
     return joined.where((F.col("side") == "front") | F.col("_backed")).drop("_backed")
 
 

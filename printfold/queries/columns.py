@@ -9,7 +9,6 @@ from printfold.operators.flatten import manifest_rows
 from printfold.operators.fold import count_valid
 from printfold.queries.registry import query
 from printfold.schema import COLORS, IMAGE_SIZES, RARITIES, TWO_SIDED_LAYOUTS
-from printfold.session import spread
 from printfold.sources.images import image_parts
 from printfold.sources.manifest import LINE, manifest_line, parse_delimited
 
@@ -196,7 +195,7 @@ def q_face_texts(t):
     """A document's lines as faces: their non-empty texts in order."""
     faces = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("oracle_text")))
     texts = S.collect_faces(F.col("faces"), F.lit(None).cast("string"), "oracle_text")
-    rows = spread(t.documents).select("doc_id", faces.alias("faces")).select("doc_id", texts.alias("texts"))
+    rows = t.documents.select("doc_id", faces.alias("faces")).select("doc_id", texts.alias("texts"))
     return rows.select(
         "doc_id", F.size("texts").alias("texts"), F.md5(F.array_join("texts", "\n")).alias("text_key")
     )
@@ -209,7 +208,7 @@ def q_top_texts(t):
     """Documents without faces: the text itself, as a list of none or one."""
     faces = F.lit(None).cast("array<struct<oracle_text:string>>")
     texts = S.collect_faces(faces, F.col("text"), "oracle_text")
-    rows = spread(t.documents).select("doc_id", texts.alias("texts"))
+    rows = t.documents.select("doc_id", texts.alias("texts"))
     return rows.select(
         "doc_id", F.size("texts").alias("texts"), F.md5(F.array_join("texts", "\n")).alias("text_key")
     )
@@ -225,7 +224,7 @@ def q_top_texts(t):
 def q_type_split(t):
     """Head and trimmed later pieces of the whole text, cut at full stops."""
     tail = S.type_tail(F.col("text"), ".")
-    return spread(t.documents).select(
+    return t.documents.select(
         "doc_id",
         S.type_head(F.col("text"), ".").alias("head"),
         F.size(tail).alias("pieces"),
@@ -296,7 +295,7 @@ def q_any_then_first(t):
 )
 def q_cost_value(t):
     """Cost symbols over the whole text."""
-    return spread(t.documents).select("doc_id", S.cost_value(F.col("text")).alias("cost"))
+    return t.documents.select("doc_id", S.cost_value(F.col("text")).alias("cost"))
 
 
 @query(
@@ -323,7 +322,9 @@ def q_prefix_int(t):
 )
 def q_cents(t):
     """Money text to hundredths; text that is no number is null."""
-    text = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    odd = F.array(*map(F.lit, ("n/a", "1.5d", "2f", "1,5", "")))
+    odd = F.get(odd, (F.col("event_id") % 5).cast("int"))
+    text = F.when(F.col("event_type") == "error", odd).otherwise(F.col("value").cast("string"))
     return t.events.select("event_id", S.to_cents(text).alias("cents"))
 
 
@@ -354,7 +355,7 @@ def q_flags(t):
 )
 def q_name_key(t):
     """Key of the cleaned whole text."""
-    return spread(t.documents).select("doc_id", S.name_key(F.col("text")).alias("name_key"))
+    return t.documents.select("doc_id", S.name_key(F.col("text")).alias("name_key"))
 
 
 @query(
@@ -416,7 +417,9 @@ def _day(c):
 )
 def q_yyyymmdd(t):
     """Dates as integers; text that is no date is null."""
-    text = F.when(F.col("o_orderstatus") == "P", "soon").otherwise(_day("o_orderdate"))
+    odd = F.array(*map(F.lit, ("soon", "2024-1", "12", "20-24", "2024-02-30")))
+    odd = F.get(odd, (F.col("o_orderkey") % 5).cast("int"))
+    text = F.when(F.col("o_orderstatus") == "P", odd).otherwise(_day("o_orderdate"))
     return t.orders.select("o_orderkey", S.yyyymmdd(text).alias("day"))
 
 
@@ -532,21 +535,22 @@ def q_explode_codes(t):
 
 
 @query(
-    """SELECT doc_id, count(*) AS words, count(DISTINCT word) AS forms, max(pos) AS last_pos
+    """SELECT doc_id, count(*) AS words, count(DISTINCT word) AS forms,
+              max(upper(md5('words|' || doc_id || '|' || pos))) AS last_id
        FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
                     generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM documents)
        GROUP BY doc_id"""
 )
 def q_explode_text(t):
     """Whole texts to one row per word, summed up per document."""
-    words = spread(t.documents).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
-    per_form = words.groupBy("doc_id", "word").agg(
-        F.count(F.lit(1)).alias("n"), F.max("pos").alias("last")
+    words = explode_child(t.documents.select("doc_id", F.split("text", " ").alias("words")), "words", "word", "words", "doc_id")
+    per_form = words.groupBy("card_id", "word").agg(
+        F.count(F.lit(1)).alias("n"), F.max("id").alias("last")
     )
-    return per_form.groupBy("doc_id").agg(
+    return per_form.groupBy(F.col("card_id").alias("doc_id")).agg(
         F.sum("n").alias("words"),
         F.count(F.lit(1)).alias("forms"),
-        F.max("last").cast("long").alias("last_pos"),
+        F.max("last").alias("last_id"),
     )
 
 

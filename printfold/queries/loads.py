@@ -44,9 +44,9 @@ def q_resolve_key(t):
     return resolve_key(t.customer.select("c_custkey", "c_name"), known, "c_custkey")
 
 
-def _latest_order(orders, status):
-    """Customers as of their latest order of a status."""
-    rows = orders.where(F.col("o_orderstatus") == status).select(
+def _latest_order(orders, *statuses):
+    """Customers as of their latest order of some statuses."""
+    rows = orders.where(F.col("o_orderstatus").isin(*statuses)).select(
         F.col("o_custkey").alias("id"),
         F.col("o_orderpriority").alias("name"),
         F.col("o_orderkey").alias("sid"),
@@ -57,25 +57,28 @@ def _latest_order(orders, status):
     return fold(rows, ["id"], ["o_orderdate", "sid"], ["name", "sid", "priority"], ["price"])
 
 
-def _latest_sql(status):
+def _latest_sql(*statuses):
     return f"""(SELECT * FROM (
         SELECT o_custkey AS id, o_orderpriority AS name, o_orderkey AS sid,
                nullif(o_orderpriority, '5-LOW') AS priority,
                min(o_totalprice) OVER (PARTITION BY o_custkey) AS price,
                row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n
-        FROM orders WHERE o_orderstatus = '{status}') WHERE n = 1)"""
+        FROM orders WHERE o_orderstatus IN ({", ".join(f"'{s}'" for s in statuses)})) WHERE n = 1)"""
 
 
 @query(
-    f"""SELECT id, t.name, t.sid, t.priority, t.price FROM {_latest_sql('F')} t
-        WHERE id NOT IN (SELECT id FROM {_latest_sql('O')})
+    f"""SELECT id, t.name, t.sid, t.priority, t.price FROM {_latest_sql('F', 'P')} t
+        WHERE id NOT IN (SELECT id FROM {_latest_sql('O', 'P')})
         UNION ALL
         SELECT s.id, coalesce(t.name, s.name), s.sid, s.priority, s.price
-        FROM {_latest_sql('O')} s LEFT JOIN {_latest_sql('F')} t ON t.id = s.id"""
+        FROM {_latest_sql('O', 'P')} s LEFT JOIN {_latest_sql('F', 'P')} t ON t.id = s.id"""
 )
 def q_upsert(t):
-    """Customers by their finished orders, loaded with their open ones; names stay."""
-    target, source = _latest_order(t.orders, "F"), _latest_order(t.orders, "O")
+    """Customers by their finished orders, loaded with their open ones; names stay.
+
+    Orders in process count on both sides, so that every order takes part.
+    """
+    target, source = _latest_order(t.orders, "F", "P"), _latest_order(t.orders, "O", "P")
     return upsert(target, source, ["id"], keep=("name",))
 
 

@@ -80,7 +80,9 @@ COMMON_SQL = """
          FROM manifest m LEFT JOIN inventory i USING (oracle_id, sid, side)"""
 )
 def q_mark_status(t):
-    return mark_status(_manifest(t).drop("date", "pos"), _inventory(t))
+    """The inventory names every picture twice."""
+    twice = _inventory(t).unionByName(_inventory(t))
+    return mark_status(_manifest(t).drop("date", "pos"), twice)
 
 
 @query(
@@ -105,14 +107,14 @@ def q_missing_report(t):
 
 @query(
     COMMON_SQL
-    + """SELECT oracle_id, side, sid FROM absent WHERE oracle_id IN (SELECT oracle_id FROM cards WHERE arted)
-         UNION ALL SELECT oracle_id, 'art', NULL FROM cards WHERE arted
-         UNION ALL SELECT oracle_id, 'card', NULL FROM cards WHERE NOT arted"""
+    + """SELECT oracle_id, name, side, sid FROM absent WHERE oracle_id IN (SELECT oracle_id FROM cards WHERE arted)
+         UNION ALL SELECT oracle_id, name, 'art', NULL FROM cards WHERE arted
+         UNION ALL SELECT oracle_id, NULL, 'card', NULL FROM cards WHERE NOT arted"""
 )
 def q_integrity_report(t):
     """Missing pictures and keys without card data, when only the cards with art are stored."""
     stored = _cards(t).where("art is not null")
-    return integrity_report(_manifest(t), stored, _inventory(t)).drop("name")
+    return integrity_report(_manifest(t), stored, _inventory(t))
 
 
 @query(

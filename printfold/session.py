@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Sizing (executors, shuffle partitions) belongs to the cluster; these are the settings the jobs
 # want on any of them.
@@ -43,13 +43,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, scan: DataFrame = None) -> DataFrame:
-    """Deal rows out to all cores when their scan has fewer splits than that.
+def drop_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a folder the library made, wherever Spark keeps it; False when it is not there."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-    For costly per-row work on small inputs, such as one file with one row group. A large input
-    has more splits than cores and is left as it is. A stream cannot tell its splits, so ``scan``
-    may be a batch read of the same files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = (df if scan is None else scan).rdd.getNumPartitions() < cores
-    return df.repartition(cores) if few else df
+
+def folder_names(spark: SparkSession, path: str) -> list:
+    """Names of the folders directly below a folder of the library's own."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
+
+
+def keep_state_off_heap(spark: SparkSession) -> None:
+    """Streams of this session keep their state, one row per card, in the store of ``SETTINGS``."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, SETTINGS[key])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from printfold.schema import CARD_DOC
-
+from printfold.session import drop_dir, folder_names
 
 VERSIONS = "version long, source string"
 
@@ -86,13 +86,30 @@ def write_snapshot(spark: SparkSession, tables: dict, root: str) -> int:
     return snapshot.commit()
 
 
+def purge(spark: SparkSession, root: str, keep: int = 1) -> list:
+    """Delete versions older than the last ``keep`` recorded ones; returns the numbers deleted.
+
+    The current version always stays, as does one being written. Readers of a deleted version fail, so
+    keep as many as a reader may still be at.
+    """
+    oldest = current_version(spark, root) - max(keep, 1) + 1
+    numbers = sorted(int(n[1:]) for n in folder_names(spark, root) if n[:1] == "v" and n[1:].isdigit())
+    old = [n for n in numbers if n < oldest]
+    for number in old:
+        drop_dir(spark, f"{root}/v{number:08d}")
+    return old
+
+
 def read_cards(spark: SparkSession, root: str) -> DataFrame:
     """The card store."""
     return read_table(spark, root, "cards")
 
 
 def read_card_docs(spark: SparkSession, root: str) -> DataFrame:
-    """Cards kept as one JSON document per folder: ``<root>/<card>/card.json``."""
+    """Cards kept as one JSON document per folder: ``<root>/<card>/card.json``.
+
+    For importing a folder tree of moderate size once: Spark lists every folder on the driver.
+    """
     return spark.read.schema(CARD_DOC).options(multiLine=True, mode="FAILFAST").json(
         f"{root}/*/card.json"
     )

@@ -1,6 +1,11 @@
-"""Loading the relational tables from streams."""
+"""Loading the relational tables from streams.
 
-from pyspark.sql import DataFrame
+A micro-batch of cards only writes what it changed (``streaming.fold.write_changes``); ``load_changes``
+merges all changes since the last merge into the tables, as its own job, as often as is worth a new
+version of them.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from printfold.operators.flatten import manifest_rows
@@ -8,35 +13,29 @@ from printfold.operators.load import append_prints, resolve_cards
 from printfold.operators.media import mark_status
 from printfold.plans.publish import card_tables, resolved
 from printfold.schema import CARDS, child_schema
+from printfold.session import drop_dir
 from printfold.sources.images import no_images
-from printfold.sources.store import Snapshot, append, read_appended, read_table
-
-
-def _start(stream: DataFrame, mode: str, each, checkpoint: str, trigger: dict):
-    return (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(each)
-        .start()
-    )
+from printfold.sources.store import Snapshot, append, purge, read_appended, read_table
+from printfold.streaming.fold import drop_batches, latest_changes, merged_upto, read_changes, start
 
 
-def upsert_batches(folded: DataFrame, target: str, base_url: str, checkpoint: str, **trigger):
-    """Start loading the cards each micro-batch changed: upsert, then replace their children.
+def load_changes(spark: SparkSession, changes: str, target: str, base_url: str, keep=2) -> int:
+    """Upsert the cards changed since the last merge and replace their children, as a new version.
 
-    Every batch writes a whole new version, so choose a trigger that gathers enough changes. A
-    batch that runs again finds its version recorded and does nothing.
+    Returns the last batch merged. A merge that is cut short is done again from the same changes.
     """
-
-    def load(batch: DataFrame, batch_id: int):
-        snapshot = Snapshot(batch.sparkSession, target, source=f"{checkpoint}#{batch_id}")
-        if not snapshot.done():
-            keyed = resolved(snapshot, batch)
-            snapshot.write_all(card_tables(snapshot, keyed, base_url))
-            snapshot.commit()
-
-    return _start(folded, "update", load, checkpoint, trigger)
+    upto = merged_upto(spark, target)
+    rows = read_changes(spark, changes, upto)
+    if rows is not None:
+        last = rows.agg(F.max("batch")).first()[0]
+        snapshot = Snapshot(spark, target, source=str(last))
+        keyed = resolved(snapshot, latest_changes(rows, ["oracle_id"]).drop("batch"))
+        snapshot.write_all(card_tables(snapshot, keyed, base_url))
+        snapshot.commit()
+        upto = last
+    purge(spark, target, keep)
+    drop_batches(spark, changes, upto)
+    return upto
 
 
 def append_print_batches(prints: DataFrame, target: str, checkpoint: str, inventory=None,
@@ -44,18 +43,22 @@ def append_print_batches(prints: DataFrame, target: str, checkpoint: str, invent
     """Start appending the new printings of each micro-batch to ``card_prints``.
 
     Ids come from the keys, so a card not yet loaded gets the id its load will give it.
-    ``inventory`` is called for the pictures there are as each batch begins.
+    ``inventory`` is called for the pictures there are as each batch begins. A batch's manifest is
+    written once and read from there.
     """
 
     def load(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         present = inventory() if inventory else no_images(spark)
-        manifest = mark_status(manifest_rows(batch), present)
+        arriving = f"{target}/arriving/{batch_id}"
+        mark_status(manifest_rows(batch), present).write.mode("overwrite").parquet(arriving)
+        manifest = spark.read.parquet(arriving)
         current = read_table(spark, target, "cards", CARDS)
-        keys = resolve_cards(batch.select("oracle_id").distinct(), current)
+        keys = resolve_cards(manifest.select("oracle_id").distinct(), current)
         path = f"{target}/card_prints"
         existing = read_appended(spark, path, child_schema("card_prints"))
         keyed = keys.select("oracle_id", F.col("id").alias("card_id"))
         append(append_prints(manifest, keyed, existing), path)
+        drop_dir(spark, arriving)
 
-    return _start(prints, "append", load, checkpoint, trigger)
+    return start(prints, "append", load, checkpoint, trigger)

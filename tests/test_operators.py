@@ -103,9 +103,11 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_is_a_join(skewed, how):
     left, right = skewed
-    salted = salted_join(left, right, "k", how, rows_per_task=50)
-    assert salted.columns == left.join(right, "k", how).columns
-    assert rows(salted) == rows(left.join(right, "k", how))
+    weights = left.groupBy("k").count()
+    for known in (None, weights):
+        salted = salted_join(left, right, "k", how, weights=known, per_task=50)
+        assert salted.columns == left.join(right, "k", how).columns
+        assert rows(salted) == rows(left.join(right, "k", how))
 
 
 def test_hot_key_is_split(skewed):
@@ -118,7 +120,7 @@ def test_hot_key_is_split(skewed):
 def test_salted_join_with_known_weights(skewed):
     left, right = skewed
     weights = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    salted = salted_join(left, right, "k", weights=weights, spread=["v"], rows_per_task=100)
+    salted = salted_join(left, right, "k", weights=weights, spread=["v"], per_task=100)
     assert rows(salted) == rows(left.join(right, "k"))
 
 
@@ -136,7 +138,7 @@ def test_status_and_backs(spark):
         "oracle_id string, sid string, side string",
     )
     there = spark.createDataFrame(
-        [("a", "1", "front"), ("a", None, "art")], "oracle_id string, sid string, side string"
+        [("a", "1", "front"), ("a", "1", "front"), ("a", None, "art")], "oracle_id string, sid string, side string"
     )
     assert rows(mark_status(prints, there)) == [
         ("a", "1", "back", "new"), ("a", "1", "front", "old"), ("b", "2", "front", "new")
@@ -189,6 +191,7 @@ def test_resolve_key_and_dimension(spark):
         for _ in range(2)
     )
     assert first["a"] == "1" and len(first["b"]) == 32 and first == second
+    assert resolve_key(cards, dimension).count() == 2  # also where a key has two ids
 
 
 def test_append_prints_is_repeatable(spark):

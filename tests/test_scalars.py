@@ -41,6 +41,7 @@ def test_prefix_int(spark):
 
 def test_to_cents(spark):
     check(spark, S.to_cents, [
+        ("1.5d", None), ("2F", None), ("1e2", 10000.0), (".5", 50.0), ("+3.", 300.0), ("0x1p3", None),
         ("1.15", 1.15 * 100), ("0.00", 0.0), (None, None), ("abc", None), ("", None), ("NaN", None),
         ("Infinity", None), ("-Infinity", None), ("1e2", 10000.0),
     ])
@@ -147,7 +148,8 @@ def test_codes_ids_dates(spark):
     check(spark, lambda c: S.map_code(c, RARITIES), [("mythic", 4), ("special", None), (None, None)])
     check(spark, lambda c: S.map_code(c, COLORS), [("W", 1), ("G", 5), ("w", None)])
     check(spark, S.uuid_hex, [("00ab-Cd", "00ABCD"), (None, None)])
-    check(spark, S.yyyymmdd, [("2021-05-01", 20210501), ("soon", None), (None, None)])
+    check(spark, S.yyyymmdd, [("2021-05-01", 20210501), ("soon", None), (None, None),
+                               ("2024-1", None), ("12", None), ("20-24", None), ("2024-02-30", None), ("20240101", None)])
     ids = apply(spark, lambda c: S.surrogate_id(F.lit("t"), c), ["a", "a", "b"])
     assert ids[0] == ids[1] != ids[2] and len(ids[0]) == 32 and ids[0] == ids[0].upper()
 

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from printfold.operators.flatten import flatten_prints
 from printfold.schema import CARD_DOC
-from printfold.session import shared_dir, spread, work_dir
+from printfold.session import drop_dir, shared_dir, work_dir
 from printfold.sources.feed import read_json_array
 from printfold.sources.images import image_inventory, inventory_of
 from printfold.sources.manifest import read_manifest, read_manifest_text, write_manifest
 from printfold.sources.store import (
     Snapshot,
+    purge,
     current_version,
     read_card_docs,
     read_cards,
@@ -132,7 +133,18 @@ def test_shared_folder(spark):
     assert work_dir(spark, "x") != work_dir(spark, "x")
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    assert spread(spark.range(10, numPartitions=cores + 3)).rdd.getNumPartitions() == cores + 3
+def test_purge_keeps_the_current_version(spark, folder):
+    root = folder("store")
+    assert purge(spark, root) == []
+    for n in range(4):
+        write_snapshot(spark, {"cards": spark.range(n + 1)}, root)
+    Snapshot(spark, root).write("cards", spark.range(99))  # being written
+    assert purge(spark, root, keep=2) == [1, 2] and purge(spark, root, keep=0) == [3]
+    assert read_cards(spark, root).count() == 4 and Path(f"{root}/v00000005").exists()
+    assert not Path(f"{root}/v00000003").exists() and current_version(spark, root) == 4
+
+
+def test_folders_go(spark):
+    path = work_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert drop_dir(spark, path) and not drop_dir(spark, path)
