@@ -18,7 +18,12 @@ from printfold.operators.media import (
     upload_list,
     wanted,
 )
+from printfold.operators.skew import salted_join
+from printfold.plans import audit
 from printfold.queries.registry import query
+from printfold.session import work_dir
+from printfold.sources.images import inventory_of
+from printfold.sources.store import read_table, write_snapshot
 
 
 def _manifest(t):
@@ -188,3 +193,72 @@ def q_wanted(t):
 def q_upload_list(t):
     """New pictures and art with source file and target key."""
     return upload_list(mark_status(_manifest(t), _inventory(t)), _cards(t))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, p_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey"""
+)
+def q_salted_join(t):
+    """Lines with their part, the parts on more than twenty lines split."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    weights = lines.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("rows"))
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return salted_join(lines, parts, "l_partkey", "left", weights, per_task=20, spread=["l_orderkey", "l_linenumber"])
+
+
+def _paths(t):
+    """Paths of the labelled pictures, some named twice, the art of toxic ones, and other files."""
+    folder = F.concat_ws("/", F.lit("bucket"), "oracle_id")
+    pictures = _inventory(t).select(F.concat(folder, F.lit("/"), "sid", F.lit("-"), "side", F.lit(".png")).alias("path"))
+    art = t.documents.join(t.labels.where("toxic = 1"), "doc_id").select(
+        F.concat(F.lit("bucket/"), "source", F.lit("/art.png")).alias("path"))
+    other = t.documents.select(F.concat(F.lit("bucket/"), "source", F.lit("/card.json")).alias("path"))
+    return pictures.unionByName(pictures).unionByName(art).unionByName(other)
+
+
+ART_SQL = """, arts AS (
+           SELECT DISTINCT source AS oracle_id FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)"""
+
+
+@query(
+    COMMON_SQL + ART_SQL
+    + """SELECT DISTINCT oracle_id, sid, side FROM inventory UNION ALL SELECT oracle_id, NULL, 'art' FROM arts"""
+)
+def q_inventory(t):
+    """Every picture of a table of paths, once."""
+    return inventory_of(_paths(t))
+
+
+def _audited(t, table):
+    """A table of the audit job, when only the cards with art are stored."""
+    store, reports = work_dir(t.spark, "store"), work_dir(t.spark, "reports")
+    write_snapshot(t.spark, {"cards": _cards(t).where("art is not null"), "manifest": _manifest(t)}, store)
+    audit(t.spark, store, reports, inventory_of(_paths(t)))
+    return read_table(t.spark, reports, table)
+
+
+STORED_SQL = COMMON_SQL + ART_SQL + """, stored AS (
+           SELECT * FROM cards WHERE arted), wanted_arts AS (
+           SELECT * FROM stored WHERE oracle_id NOT IN (FROM arts))"""
+
+
+@query(
+    STORED_SQL
+    + """SELECT oracle_id, sid, side, url, oracle_id || '/' || sid || '-' || side || '.png' AS file
+         FROM absent WHERE oracle_id IN (SELECT oracle_id FROM stored)
+         UNION ALL SELECT oracle_id, NULL, 'art', 'a', oracle_id || '/art.png' FROM wanted_arts"""
+)
+def q_audit_fetch(t):
+    """The audit's fetch list."""
+    return _audited(t, "fetch_list")
+
+
+@query(
+    STORED_SQL
+    + """SELECT oracle_id, name, side, sid FROM absent WHERE oracle_id IN (SELECT oracle_id FROM stored)
+         UNION ALL SELECT oracle_id, name, 'art', NULL FROM wanted_arts
+         UNION ALL SELECT oracle_id, NULL, 'card', NULL FROM cards WHERE NOT arted"""
+)
+def q_audit_report(t):
+    """The audit's report of what is missing."""
+    return _audited(t, "integrity_report")
