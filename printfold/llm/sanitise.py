@@ -140,11 +140,10 @@ def disclosing(keyed: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GE
         F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_tie").alias("n_both"))
     near_by = near_by.where(F.col("contexts") >= support).drop("contexts")
     n_term = keyed.select(F.explode(terms_of(F.col("_text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = keyed.agg(F.count("*").alias("n_docs"))  # one row
-    ratio = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(F.col("n_docs") / F.col("n_entity"))
+    n_docs = F.lit(keyed.count())
+    ratio = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(n_docs / F.col("n_entity"))
     return (
-        near_by.join(n_term, "term").join(named, "entity").join(F.broadcast(n_docs))
-        .where(F.col("n_docs") > F.col("n_entity"))
+        near_by.join(n_term, "term").join(named, "entity").where(n_docs > F.col("n_entity"))
         .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= generalise)
     )
 
