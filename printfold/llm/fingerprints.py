@@ -115,16 +115,21 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str, size=SIZE, slack=SLA
     )
 
 
+KEY = ["named", "key", "tie"]
+
+
 def with_key(docs: DataFrame) -> DataFrame:
-    """(key, tie, doc_id, text): rows in order of doc_id, nulls first; ``tie`` tells equal ids apart."""
-    lowest = F.lit(-(1 << 63)).cast("bigint")
+    """(named, key, tie, text): rows in order of doc_id, nulls first; ``tie`` tells equal ids apart.
+
+    The doc_id is left to be read off the key, so that every use of these rows is the same one shuffle.
+    """
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("key"), F.xxhash64(text).alias("tie"),
-                       "doc_id", text.alias("text"))
+    return docs.select(F.col("doc_id").isNotNull().alias("named"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("key"),
+                       F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
 def neighbours(keyed: DataFrame) -> DataFrame:
-    """For every (key, tie) the one before it and its length, the last one for the first.
+    """For every key the one before it and its length, the last one for the first.
 
     Only keys and lengths are sorted. They are dealt by range and written below the shared folder, so
     that ranges stay what they were; the first row of a range gets its neighbour from a list of the
@@ -132,19 +137,18 @@ def neighbours(keyed: DataFrame) -> DataFrame:
     """
     spark = keyed.sparkSession
     path = work_dir(spark, "neighbours")
-    rows = keyed.select("key", "tie", F.char_length("text").alias("n_chars")).distinct()
-    rows.repartitionByRange("key", "tie").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    rows = keyed.select(*KEY, F.char_length("text").alias("n_chars")).distinct()
+    rows.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    row = F.struct("key", "tie", "n_chars")
+    row = F.struct(*KEY, "n_chars")
     lasts = rows.groupBy("part").agg(F.max(row).alias("end"))
     over = Window.orderBy("part")  # a row per range
     lasts = lasts.select("part", F.coalesce(
         F.lag("end").over(over), F.max("end").over(Window.partitionBy())).alias("end"))
-    inside = Window.partitionBy("part").orderBy("key", "tie")
+    inside = Window.partitionBy("part").orderBy(*KEY)
     prev = F.coalesce(F.lag(row).over(inside), F.col("end"))
-    return rows.join(F.broadcast(lasts), "part").select("key", "tie", prev.alias("prev")).select(
-        "key", "tie", F.col("prev.key").alias("prev_key"), F.col("prev.tie").alias("prev_tie"),
-        F.col("prev.n_chars").alias("prev_chars"))
+    return rows.join(F.broadcast(lasts), "part").select(*KEY, prev.alias("prev")).select(
+        *KEY, *[F.col(f"prev.{c}").alias(f"prev_{c}") for c in (*KEY, "n_chars")])
 
 
 def edit_and_compare(docs: DataFrame) -> DataFrame:
@@ -155,17 +159,17 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     it, a prefix and the fingerprint, goes on from there.
     """
     keyed = with_key(docs)
-    dealt = with_fingerprint(keyed, "text", "fp").repartition("key", "tie")
+    dealt = with_fingerprint(keyed, "text", "fp").repartition(*KEY)
     half = lambda n: F.floor(n / 2).cast("int")
     sent = (
-        dealt.join(neighbours(keyed), ["key", "tie"])
-        .select(F.col("prev_key").alias("key"), F.col("prev_tie").alias("tie"),
-                F.substr("text", F.lit(1), half(F.col("prev_chars"))).alias("head"), F.col("fp").alias("next_fp"))
-        .groupBy("key", "tie").agg(F.first("head").alias("head"), F.first("next_fp").alias("next_fp"))
+        dealt.join(neighbours(keyed), KEY)
+        .select(*[F.col(f"prev_{c}").alias(c) for c in KEY],
+                F.substr("text", F.lit(1), half(F.col("prev_n_chars"))).alias("head"), F.col("fp").alias("next_fp"))
+        .groupBy(*KEY).agg(F.first("head").alias("head"), F.first("next_fp").alias("next_fp"))
     )
     n = F.char_length("text")
-    rows = dealt.join(sent, ["key", "tie"]).select(
-        "doc_id", "text", "fp", "next_fp", n.cast("long").alias("n_chars"),
+    rows = dealt.join(sent, KEY).select(
+        F.when(F.col("named"), F.col("key")).alias("doc_id"), "text", "fp", "next_fp", n.cast("long").alias("n_chars"),
         F.concat(F.substr("text", F.lit(1), n - half(n)), F.col("head")).alias("edited"))
     rows = with_fingerprint(rows, "edited", "edited_fp")
     rows = with_likeness(rows, "fp", "edited_fp", "near_edited")
