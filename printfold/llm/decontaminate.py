@@ -32,12 +32,13 @@ WINDOW, SUBSTITUTIONS, SHORTEST = 13, 2, 5
 MASKS = ((0, 1, 2, 3, 5, 6, 7), (0, 1, 4, 7, 8, 9, 10), (0, 3, 4, 5, 7, 10, 11))
 PART_TOKENS = 2_000_000
 CHUNK_BYTES = 4 << 20
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}  # types an item id may have
 NO_TOKEN = 0xFFFFFFFF  # a word without letters or digits
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{N}]+")
 
 
 def token(word: bytes) -> str:
-    return NOT_LETTERS.sub("", word.decode().lower())
+    return NOT_LETTERS.sub("", word.decode(errors="replace").lower())
 
 
 def _mixers(n: int) -> np.ndarray:
@@ -164,13 +165,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = f"doc_id {id_type}, item_id {item_type}, windows bigint, best bigint, first bigint"
     found = None
     for index in indexes(benchmark):
-        rows = docs.select("doc_id", "text").mapInArrow(_report(index), schema)
+        rows = docs.select("doc_id", "text").mapInArrow(_report(index, ARROW[item_type]), schema)
         found = rows if found is None else found.unionByName(rows)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("windows").alias("windows"), F.max("best").alias("best"), F.min("first").alias("first"))
 
 
-def _report(index):
+def _report(index, id_type):
     def run(batches):
         own, table = index.value, index.value.table()
         for batch in batches:
@@ -186,17 +187,13 @@ def _report(index):
                 np.minimum.at(first, row, hits[:, 2])
                 ids = [own.ids[i] for i in pair[:, 1]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(pair[:, 0])), pa.array(ids, _id_type(ids)),
+                    [part.column("doc_id").take(pa.array(pair[:, 0])), pa.array(ids, id_type),
                      pa.array(windows, pa.int64()), pa.array(best), pa.array(first)],
                     names=["doc_id", "item_id", "windows", "best", "first"])
 
     return run
 
 
-def _id_type(ids):
-    return pa.string() if any(isinstance(i, str) for i in ids) else pa.int64()
-
-
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates."""
     for index in indexes(benchmark):

@@ -149,7 +149,7 @@ def disclosing(keyed: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GE
 
 
 def with_spans(docs: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
-    """Rows of ``docs`` with ``base`` and ``added`` spans (start, end, kind, hit)."""
+    """Rows of ``docs`` with ``base`` and ``added`` spans (start, end, kind, hit) in place of columns so named."""
     keyed = with_key(docs)
     telling = disclosing(keyed, near, support, generalise)
     named = mentions(keyed, near).select("_id", "_tie", "entity").distinct()
@@ -188,11 +188,11 @@ def redact(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with its text sanitised; other columns stay, null texts too."""
-    rows = with_spans(docs, **settings)
+    """``docs`` with its text sanitised; other columns stay, whatever their names, null texts too."""
+    rows = with_spans(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), **settings)
     everything = F.sort_array(F.concat("base", "added"))
     clean = F.when(F.size(everything) > 0, redact(F.col("_text"), everything)).otherwise(F.col("text"))
-    return rows.withColumn("text", clean).select(*docs.columns)
+    return rows.select(*[clean.alias(c) if c == "text" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
 
 
 def joined(spans: Column) -> Column:

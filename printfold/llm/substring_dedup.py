@@ -170,7 +170,7 @@ def _cut(chunk: Chunk, entries: Entries, bits: np.ndarray) -> pa.Table:
     kept = []
     for words, start in zip(chunk.words, chunk.starts):
         mask = gone[start: start + len(words)]
-        kept.append(b" ".join(words if not mask.any() else [w for w, g in zip(words, mask) if not g]).decode())
+        kept.append(b" ".join(words if not mask.any() else [w for w, g in zip(words, mask) if not g]).decode(errors="replace"))
     total = np.concatenate([[0], np.cumsum(gone)])
     removed = total[chunk.starts + chunk.sizes] - total[chunk.starts]
     # A later copy of a whole document needs no further levels; both copies repeat from end to end.

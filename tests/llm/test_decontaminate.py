@@ -73,6 +73,8 @@ def test_parts_of_a_large_benchmark(spark, make, monkeypatch):
 
 def test_empty_tables(spark, make):
     docs, items = planted()
+    named = spark.createDataFrame([(f"item {i}", t) for i, t in items], "item_id string, text string")
+    assert {r.item_id for r in contaminations(make(docs), named).collect()} >= {"item 0", "item 7"}
     none = spark.createDataFrame([], "item_id long, text string")
     assert contaminations(make(docs), none).count() == 0 and clean(make(docs), none).count() == len(docs)
     assert contaminations(make([]), spark.createDataFrame(items, "item_id long, text string")).count() == 0

@@ -80,7 +80,8 @@ def planted():
 
 
 def test_words_that_give_an_entity_away(spark):
-    df = spark.createDataFrame(planted(), "doc_id long, text string").withColumn("tie", F.lit("kept"))
+    df = spark.createDataFrame(planted(), "doc_id long, text string").withColumns(
+        {c: F.lit("kept") for c in ("tie", "base", "term", "entity", "_tie", "m")})
     rows = {r.doc_id: r for r in with_spans(df).collect()}
     for i in range(200):
         assert rows[i].base == [] and rows[i].added == []
@@ -88,7 +89,7 @@ def test_words_that_give_an_entity_away(spark):
         words = {m.hit for m in rows[i].added}
         assert {"Zorblax", "wrote", "about"} == words and len(rows[i].base) == 1
     clean = {r.doc_id: r for r in sanitise(df).collect()}
-    assert clean[3].text == rows[3].text and clean[3].tie == "kept"
+    assert clean[3].text == rows[3].text and clean[3].tie == clean[3].base == clean[202]._tie == "kept"
     assert "[EMAIL]" in clean[202].text and "Zorblax" not in clean[202].text and "corp" not in clean[202].text
 
 
