@@ -182,12 +182,17 @@ def candidate_edges(found: DataFrame) -> DataFrame:
 
 
 def in_blocks(rows: DataFrame, group: str, blocks, *columns) -> DataFrame:
-    """Rows of a group dealt to blocks, once for every pair of blocks; pairs are whole in a partition."""
-    n = F.greatest(blocks.cast("int"), F.lit(1))
+    """Rows of a group dealt to blocks, once for every pair of blocks; pairs are whole in a partition.
+
+    The number of blocks is a power of two, so that groups of like members have the same blocks, and rows
+    are sorted by node, so that trees have the smallest node as root: buckets of like members return
+    the same edges.
+    """
+    n = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(blocks, F.lit(1))))).cast("int")
     dealt = rows.withColumn("_n", n).withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_n")).cast("int"))
     pairs = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     keys = [F.col(group).alias("grp"), F.least("own", "_other").alias("low"), F.greatest("own", "_other").alias("high")]
-    return pairs.select(*keys, "own", *columns).repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high")
+    return pairs.select(*keys, "own", *columns).repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high", "node")
 
 
 def _groups(batches):
