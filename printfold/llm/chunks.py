@@ -6,7 +6,8 @@ Rows are packed: one for each chunk and bucket, so that a value costs its bytes
 value that every document has costs one entry a chunk.
 
 The numbers of chunks and buckets follow from the bytes of text: small ones while there are few, then
-as many as keep each at a size that a task can hold.
+as many as keep each at a size that a task can hold. Larger tasks may hold more: a chunk and a bucket
+exchange a row, so for a hundred terabytes half a gigabyte each is better than the default.
 """
 
 import numpy as np
@@ -33,7 +34,7 @@ def id_bounds(docs: DataFrame, n: int) -> list:
     """Ids that part the documents into about ``n`` ranges with as many rows."""
     if n < 2:
         return []
-    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0]
+    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 4 * n)).first()[0]
     return sorted(set(found or []))
 
 

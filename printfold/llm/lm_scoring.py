@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from printfold.llm.chunks import MIX, Entries, mixed, pack, sizes, unpack
+from printfold.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, MIX, Entries, mixed, pack, sizes, unpack
 from printfold.llm.words import hash_table, texts, values
 
 MU, NU = 1000.0, 10.0
@@ -148,12 +148,13 @@ def _score(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
         "target_loss": value(losses[0]), "background_loss": value(losses[1]), "score": value(losses[0] - losses[1])})
 
 
-def score(docs: DataFrame, target: DataFrame) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, chunk_bytes=CHUNK_BYTES, bucket_bytes=BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of every row of (doc_id, text).
 
-    ``target`` has the doc_id of the documents whose like is wanted.
+    ``target`` has the doc_id of the documents whose like is wanted. ``chunk_bytes`` and ``bucket_bytes``
+    bound the text that one task holds.
     """
-    chunks, buckets = sizes(docs)
+    chunks, buckets = sizes(docs, chunk_bytes, bucket_bytes)
     key = F.col("doc_id").cast("bigint")
     # Labels go where their document is; documents without an id spread by their text.
     place = F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")

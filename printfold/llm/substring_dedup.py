@@ -26,7 +26,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from printfold.llm.chunks import ASK, REPLY, Entries, ask, id_bounds, judge, mixed, range_of, sizes
+from printfold.llm.chunks import (
+    ASK,
+    BUCKET_BYTES,
+    CHUNK_BYTES,
+    REPLY,
+    Entries,
+    ask,
+    id_bounds,
+    judge,
+    mixed,
+    range_of,
+    sizes,
+)
 from printfold.llm.words import hash_table, texts, values
 from printfold.session import work_dir
 
@@ -111,9 +123,9 @@ class Chunk:
         return mixed(part ^ (self.sizes.astype(np.uint64) * COPY))
 
 
-def _dealt(docs: DataFrame):
+def _dealt(docs: DataFrame, chunk_bytes, bucket_bytes):
     """Documents with chunk, rank and tie; chunks are ranges of doc_id, so rank orders them."""
-    chunks, buckets = sizes(docs)
+    chunks, buckets = sizes(docs, chunk_bytes, bucket_bytes)
     bounds = id_bounds(docs, chunks)
     key = F.col("doc_id").cast("bigint")
     spread = F.pmod(F.xxhash64("text"), F.lit(chunks)).cast("int") + len(bounds) + 1
@@ -128,9 +140,9 @@ STATE = "chunk int, rank bigint, places binary, hashes binary"
 RESULT = "chunk int, row int, doc_id bigint, n_words bigint, n_removed bigint, kept string, copied boolean"
 
 
-def _first_level(docs: DataFrame, words: int):
+def _first_level(docs: DataFrame, words: int, *task_bytes):
     """Per document its kept text, and per chunk the repeated windows, from one deal of the texts."""
-    dealt, buckets = _dealt(docs)
+    dealt, buckets = _dealt(docs, *task_bytes)
 
     def ask_halves(table):
         chunk = Chunk(table, words, buckets)
@@ -233,14 +245,16 @@ def _rows_alive(batches):
                 [pa.array([chunk] * len(rows), pa.int32()), pa.array(rows, pa.int32())], names=["chunk", "row"])
 
 
-def dedup(docs: DataFrame, words=WORDS, keep=lambda kept: [kept.alias("text")]) -> DataFrame:
+def dedup(docs: DataFrame, words=WORDS, keep=lambda kept: [kept.alias("text")],
+          chunk_bytes=CHUNK_BYTES, bucket_bytes=BUCKET_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, longest, and what ``keep`` makes of the kept text.
 
     ``longest`` is the length in words of the last level at which the document has a repeated window:
-    ``words``, twice that, and so on; 0 if it has none.
+    ``words``, twice that, and so on; 0 if it has none. ``chunk_bytes`` and ``bucket_bytes`` bound the
+    text that one task holds.
     """
     spark = docs.sparkSession
-    both, buckets = _first_level(docs, words)
+    both, buckets = _first_level(docs, words, chunk_bytes, bucket_bytes)
     path = work_dir(spark, "windows")
     both.select(*[c for c in both.columns if c != "kept"], *keep(F.col("kept"))).write.parquet(path)
     first = spark.read.parquet(path)

@@ -42,7 +42,7 @@ def test_equals_plain_version(spark, make, some_texts, monkeypatch):
     target = {i for i, _ in some_texts if i % 2}
     labels = spark.createDataFrame([(i,) for i in [*target, *target, 10**9, None]], "doc_id long")
     check(make(some_texts), labels, some_texts, target)
-    monkeypatch.setattr("printfold.llm.lm_scoring.sizes", lambda docs: (23, 7))
+    monkeypatch.setattr("printfold.llm.lm_scoring.sizes", lambda docs, *_: (23, 7))
     check(make(some_texts), labels, some_texts, target)
 
 

@@ -42,7 +42,7 @@ def test_other_windows(make, some_texts, words):
 
 
 def test_many_chunks_and_buckets(make, some_texts, monkeypatch):
-    monkeypatch.setattr("printfold.llm.substring_dedup.sizes", lambda docs: (37, 11))
+    monkeypatch.setattr("printfold.llm.substring_dedup.sizes", lambda docs, *_: (37, 11))
     assert found(make(some_texts)) == plain(some_texts)
 
 
