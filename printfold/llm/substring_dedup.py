@@ -45,6 +45,7 @@ from printfold.session import work_dir
 WORDS = 13
 HALF_BYTES, WINDOW_BYTES, LEVEL_BYTES = 4, 7, 6
 FACTORS = [np.uint64(xxhash.xxh3_64_intdigest(b"window", seed=i) | 1) for i in range(3)]
+LEVEL_ENTRIES = 500_000  # windows a bucket of the upper levels takes
 COPY = np.uint64(0xA0761D6478BD642F)
 
 
@@ -165,7 +166,7 @@ def _first_level(docs: DataFrame, words: int, *task_bytes):
     replies = halves.withColumn("level", F.lit(0)).unionByName(windows.withColumn("level", F.lit(1)))
     both = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(
         finish, f"{RESULT}, places binary, hashes binary, rank bigint")
-    return both, buckets
+    return both
 
 
 def _cut(chunk: Chunk, entries: Entries, bits: np.ndarray) -> pa.Table:
@@ -254,16 +255,17 @@ def dedup(docs: DataFrame, words=WORDS, keep=lambda kept: [kept.alias("text")],
     text that one task holds.
     """
     spark = docs.sparkSession
-    both, buckets = _first_level(docs, words, chunk_bytes, bucket_bytes)
+    both = _first_level(docs, words, chunk_bytes, bucket_bytes)
     path = work_dir(spark, "windows")
     both.select(*[c for c in both.columns if c != "kept"], *keep(F.col("kept"))).write.parquet(path)
     first = spark.read.parquet(path)
     state = first.where("row is null").select("chunk", "rank", "places", "hashes").where(F.octet_length("places") > 0)
     size, alive = words, None
-    while state.limit(1).count():
+    while left := state.agg(F.sum(F.octet_length("places"))).first()[0]:
         rows = state.select("chunk", "places").mapInArrow(_rows_alive, "chunk int, row int").withColumn("size", F.lit(size))
         alive = rows if alive is None else alive.unionByName(rows)
         path = work_dir(spark, "windows")
+        buckets = -(-left // (8 * LEVEL_ENTRIES))  # a place is 8 bytes
         _next_level(state, size, buckets).where(F.octet_length("places") > 0).write.parquet(path)
         state, size = spark.read.parquet(path), 2 * size
     rows = first.where("row is not null").drop("places", "hashes", "rank")
