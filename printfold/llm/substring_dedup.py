@@ -68,7 +68,7 @@ def _sliding_least(x: np.ndarray, size: int) -> np.ndarray:
     have, out = 1, x
     while have < size:
         step = min(have, size - have)
-        out = np.minimum(out[:-step], out[step:]) if step else out
+        out = np.minimum(out[:-step], out[step:])
         have += step
     return out
 
