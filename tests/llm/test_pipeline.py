@@ -73,9 +73,9 @@ def test_one_of_each_class_stays(spark, raw):
 
 def test_overlapping_documents_go(spark, raw):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
-    rows = [(r.doc_id, r.text) for r in raw.where("length(text) < 3000 or text is null").collect()]
+    rows = [(r.doc_id, r.text) for r in raw.where("length(text) < 1200 or text is null").collect()]
     dirty = {d for d, _ in plain_overlaps(rows, items)}
-    short = raw.where("length(text) < 3000 or text is null")
+    short = raw.where("length(text) < 1200 or text is null")
     kept = rows_of(pipeline.decontamination(spark, short, FOLDER))
     assert dirty and kept == [r for r in rows_of(short) if r[0] not in dirty]
 
