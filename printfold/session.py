@@ -24,18 +24,23 @@ def configure(builder):
     return builder
 
 
+_OWN = {}  # folders of local sessions, by application; they go with the process
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
     Where it is unset a local session gets a folder of its own; a cluster must name one.
     """
     path = spark.conf.get("spark.checkpoint.dir", "")
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="printfold-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.TemporaryDirectory(prefix="printfold-", ignore_cleanup_errors=True)
+    return _OWN[app].name
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
