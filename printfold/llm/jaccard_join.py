@@ -36,7 +36,8 @@ from printfold.session import work_dir
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, STEP = 32, 4, 16
 HASHES = BANDS * ROWS
-BLOCK_ROWS, BLOCK_CHARS = 512, 4_000_000
+SKETCH_ROWS = 4096  # of a block of sketches, a few hundred bytes each
+BLOCK_ROWS, BLOCK_CHARS = 512, 4_000_000  # of a block of whole texts
 CHUNK_BYTES = 2 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -177,7 +178,7 @@ def candidate_edges(found: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y")).where("members > 1")
     buckets = buckets.groupBy("members", "x", "y").agg(F.min("key").alias("key")).select("key", "members")
     rows = bands.join(buckets, "key").join(found.select("node", "sketch"), "node")
-    blocks = in_blocks(rows, "key", F.ceil(F.col("members") / F.lit(BLOCK_ROWS)), "node", "sketch")
+    blocks = in_blocks(rows, "key", F.ceil(F.col("members") / F.lit(SKETCH_ROWS)), "node", "sketch")
     return blocks.mapInArrow(_prune, "a bigint, b bigint")
 
 

@@ -38,6 +38,7 @@ def test_equals_all_pairs(make, some_texts):
 
 def test_small_blocks_find_the_same(make, some_texts, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "SKETCH_ROWS", 3)
     assert found(make(some_texts)) == plain(some_texts)
 
 
