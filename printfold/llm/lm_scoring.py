@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from printfold.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, MIX, Entries, mixed, pack, sizes, unpack
+from printfold.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, MIX, Entries, mixed, pack, sizes
 from printfold.llm.words import hash_table, texts, values
 
 MU, NU = 1000.0, 10.0
@@ -39,18 +39,29 @@ ASK = "bucket int, chunk int, data binary, target binary, background binary"
 REPLY = "chunk int, bucket int, target binary, background binary"
 
 
-def _planes(counts: np.ndarray) -> bytes:
-    """Counts byte by byte, low bytes first; high bytes are zeros and cost next to nothing packed."""
-    counts = counts.astype(np.uint64)
-    width = max(1, (int(counts.max()).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(pack(counts, width).T).tobytes()
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Values byte by byte, the low bytes of all first: what is zero or sorted packs well."""
+    return np.ascontiguousarray(pack(values.astype(np.uint64), width).T).tobytes()
 
 
-def _counts(blob: bytes) -> np.ndarray:
-    rows = np.frombuffer(blob, np.uint8, offset=1).reshape(blob[0], -1).T
-    out = np.zeros((len(rows), 8), np.uint8)
-    out[:, : blob[0]] = rows
-    return out.view(np.uint64).reshape(-1).astype(np.int64)
+def _from_planes(blob: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(blob) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(blob, np.uint8).reshape(width, -1).T
+    return out.view(np.uint64).reshape(-1)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of which many are zero: a bit for each, then the others in as few bytes as they need."""
+    some = counts[counts > 0]
+    width = (int(some.max(initial=1)).bit_length() + 7) // 8
+    return np.packbits(counts > 0).tobytes() + bytes([width]) + _planes(some, width)
+
+
+def _counts(blob: bytes, n: int) -> np.ndarray:
+    cut = (n + 7) // 8
+    out = np.zeros(n, np.int64)
+    out[np.unpackbits(np.frombuffer(blob, np.uint8, cut), count=n).astype(bool)] = _from_planes(blob[cut + 1:], blob[cut])
+    return out
 
 
 class Chunk:
@@ -99,28 +110,30 @@ class Chunk:
 def _ask(table: pa.Table, buckets: int) -> pa.Table:
     chunk = Chunk(table, buckets)
     filled = chunk.entries.filled()
-    data, (target, background) = pack(chunk.entries.values, BYTES), chunk.own
+    # The high bytes, as the values of a bucket are sorted.
+    data, (target, background) = chunk.entries.values >> np.uint64(64 - 8 * BYTES), chunk.own
     return pa.table({
         "bucket": pa.array([b for b, _, _ in filled], pa.int32()),
         "chunk": pa.array([table.column("chunk")[0].as_py()] * len(filled), pa.int32()),
-        "data": pa.array([data[i:j].tobytes() for _, i, j in filled], pa.binary()),
-        "target": pa.array([_planes(target[i:j]) for _, i, j in filled], pa.binary()),
-        "background": pa.array([_planes(background[i:j]) for _, i, j in filled], pa.binary())})
+        "data": pa.array([_planes(data[i:j], BYTES) for _, i, j in filled], pa.binary()),
+        "target": pa.array([_packed(target[i:j]) for _, i, j in filled], pa.binary()),
+        "background": pa.array([_packed(background[i:j]) for _, i, j in filled], pa.binary())})
 
 
 def _add(table: pa.Table) -> pa.Table:
     """For each entry of a bucket what all other chunks have counted."""
     blobs = table.column("data").to_pylist()
-    cuts = np.cumsum([len(b) // BYTES for b in blobs])[:-1]
-    found = unpack(blobs, BYTES)
+    lengths = [len(b) // BYTES for b in blobs]
+    cuts = np.cumsum(lengths)[:-1]
+    found = np.concatenate([_from_planes(b, BYTES) for b in blobs])
     order = np.argsort(found, kind="stable")
     starts = np.flatnonzero(np.concatenate([[True], found[order][1:] != found[order][:-1]]))
     size, out = np.diff(np.append(starts, len(found))), {}
     for name in ("target", "background"):
-        own = np.concatenate([_counts(b) for b in table.column(name).to_pylist()])
+        own = np.concatenate([_counts(b, n) for b, n in zip(table.column(name).to_pylist(), lengths)])
         total = np.empty_like(own)
         total[order] = np.repeat(np.add.reduceat(own[order], starts), size)
-        out[name] = pa.array([_planes(x) for x in np.split(total - own, cuts)], pa.binary())
+        out[name] = pa.array([_packed(x) for x in np.split(total - own, cuts)], pa.binary())
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), **out})
 
 
@@ -130,7 +143,8 @@ def _score(table: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     names = replies.column("bucket").to_pylist()
     for side, total in zip(("target", "background"), totals):
         for bucket, blob in zip(names, replies.column(side).to_pylist()):
-            total[chunk.entries.bounds[bucket]: chunk.entries.bounds[bucket + 1]] += _counts(blob)
+            start, stop = chunk.entries.bounds[bucket], chunk.entries.bounds[bucket + 1]
+            total[start:stop] += _counts(blob, stop - start)
     own = [chunk.within(x) for x in (chunk.word, chunk.before, chunk.pair)]
     size = np.where(chunk.n_words, chunk.n_words + 1, 0)
     shared = (totals[0] + totals[1])[chunk.word] / max(sum(t[chunk.all] for t in totals), 1.0)
