@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from printfold.llm.sanitise import base_spans, in_order, joined, sanitise, with_spans
+from printfold.llm.sanitise import base_spans, joined, sanitise, with_spans
 
 # The base patterns.
 PATTERNS = {
