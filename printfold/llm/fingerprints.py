@@ -2,12 +2,13 @@
 
 A window of ``k`` words is an anchor when the smallest of its inner runs of ``s`` words, by hash, is
 the first or the last: that depends on the window alone, so equal passages choose equal anchors
-wherever they stand. A fingerprint keeps the ``size`` anchors of smallest hash with their word
-positions (a bottom-k sketch of all anchors of the whole text).
+wherever they stand. A fingerprint has all anchors of the whole text with their word positions, by hash.
+A caller may ask for the ``size`` anchors of smallest hash only (a bottom-k sketch); which ones these
+are depends on the whole text.
 
-Two fingerprints are compared where both are complete, that is up to the smaller of their largest
-hashes. Anchors match when their hash is equal and their displacement is within ``slack`` words of
-the median one; likeness is matches / (anchors of both - matches).
+Two fingerprints are compared where both are complete: everywhere, or with sketches up to the smaller
+of their largest hashes. Anchors match when their hash is equal and their displacement is within
+``slack`` words of the median one; likeness is matches / (anchors of both - matches).
 
 Defined results: a null text is empty; a text without words has an empty fingerprint, which is 1 like
 another empty one and 0 like any other; a text without an anchor (under ``k`` words, say) has all its
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from printfold.session import work_dir
 
-K, S, SIZE, SLACK = 5, 2, 64, 16
+K, S, SLACK = 5, 2, 16
+SIZE = (1 << 31) - 1  # all anchors: no array holds more
 BLANKS, WORD_GAP = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 POSITION_BITS = 31
 
@@ -95,23 +97,29 @@ def as_text(fingerprint: Column) -> Column:
 
 
 def with_likeness(df: DataFrame, a: str, b: str, name: str, size=SIZE, slack=SLACK) -> DataFrame:
-    """Add column ``name``, the likeness of the fingerprints in columns ``a`` and ``b``."""
+    """Add column ``name``, the likeness of the fingerprints in columns ``a`` and ``b``.
+
+    Equal hashes meet by sorting both together, each with a last bit that tells ``b`` from ``a``.
+    """
     whole = F.lit(1 << 32).cast("bigint")
     limit = lambda c: F.when(F.size(c) >= size, hash_of(F.element_at(c, -1))).otherwise(whole)
-    at = lambda x: F.array_position(F.col("_hashes"), hash_of(x)).cast("int")
-    held = F.filter(F.col(a), lambda x: hash_of(x) <= F.col("_limit"))
-    counts = F.size("_a") + F.size(F.filter("_hashes", lambda h: h <= F.col("_limit"))) - F.col("_match")
+    held = lambda c, side: F.transform(F.filter(c, lambda x: hash_of(x) <= F.col("_limit")),
+                                       lambda x: F.shiftleft(x, 1).bitwiseOR(F.lit(side).cast("bigint")))
+    before = lambda i: F.get("_both", i - 1)
+    place = lambda x: place_of(F.shiftright(x, 1))
+    moved = lambda x, i: F.when(
+        (i > 0) & (F.shiftrightunsigned(x, 32) == F.shiftrightunsigned(before(i), 32)),
+        (place(x) - place(before(i))) * F.when(x.bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1))
     return (
         df.withColumn("_limit", F.least(limit(a), limit(b)))
-        .withColumn("_hashes", F.transform(b, hash_of))
-        .withColumn("_a", held)
-        .withColumn("_moves", F.sort_array(F.filter(F.transform("_a", lambda x: F.when(
-            at(x) > 0, place_of(F.get(F.col(b), at(x) - 1)) - place_of(x))), lambda d: d.isNotNull())))
+        .withColumn("_both", F.sort_array(F.concat(held(a, 0), held(b, 1))))
+        .withColumn("_moves", F.sort_array(F.filter(F.transform("_both", moved), lambda d: d.isNotNull())))
         .withColumn("_middle", F.get("_moves", F.floor(F.size("_moves") / 2).cast("int")))
         .withColumn("_match", F.size(F.filter("_moves", lambda d: F.abs(d - F.col("_middle")) <= slack)))
         .withColumn(name, F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0)
-                    .when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.col("_match") / counts))
-        .drop("_limit", "_hashes", "_a", "_moves", "_middle", "_match")
+                    .when((F.size(a) == 0) | (F.size(b) == 0), 0.0)
+                    .otherwise(F.col("_match") / (F.size("_both") - F.col("_match"))))
+        .drop("_limit", "_both", "_moves", "_middle", "_match")
     )
 
 
@@ -129,18 +137,18 @@ def with_key(docs: DataFrame) -> DataFrame:
 
 
 def neighbours(keyed: DataFrame) -> DataFrame:
-    """For every key the one before it and its length, the last one for the first.
+    """For every key the one before it, the last one for the first.
 
-    Only keys and lengths are sorted. They are dealt by range and written below the shared folder, so
+    Only keys are sorted. They are dealt by range and written below the shared folder, so
     that ranges stay what they were; the first row of a range gets its neighbour from a list of the
     last rows, one per range.
     """
     spark = keyed.sparkSession
     path = work_dir(spark, "neighbours")
-    rows = keyed.select(*KEY, F.char_length("text").alias("n_chars")).distinct()
+    rows = keyed.select(*KEY).distinct()
     rows.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    row = F.struct(*KEY, "n_chars")
+    row = F.struct(*KEY)
     lasts = rows.groupBy("part").agg(F.max(row).alias("end"))
     over = Window.orderBy("part")  # a row per range
     lasts = lasts.select("part", F.coalesce(
@@ -148,29 +156,28 @@ def neighbours(keyed: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy(*KEY)
     prev = F.coalesce(F.lag(row).over(inside), F.col("end"))
     return rows.join(F.broadcast(lasts), "part").select(*KEY, prev.alias("prev")).select(
-        *KEY, *[F.col(f"prev.{c}").alias(f"prev_{c}") for c in (*KEY, "n_chars")])
+        *KEY, *[F.col(f"prev.{c}").alias(f"prev_{c}") for c in KEY])
 
 
 def edit_and_compare(docs: DataFrame) -> DataFrame:
     """Every document with its fingerprint, that of its edited text, and its likeness to that and to the next.
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many, or all,
-    of the next document. A text crosses the network once by its own key; what its neighbour needs of
-    it, a prefix and the fingerprint, goes on from there.
+    of the next document. A text crosses the network by its own key and once more to the document before
+    it; fingerprints, which pack worse than texts, are made where they are compared.
     """
-    keyed = with_key(docs)
-    dealt = with_fingerprint(keyed, "text", "fp").repartition(*KEY)
+    dealt = with_key(docs).repartition(*KEY)
     half = lambda n: F.floor(n / 2).cast("int")
     sent = (
-        dealt.join(neighbours(keyed), KEY)
-        .select(*[F.col(f"prev_{c}").alias(c) for c in KEY],
-                F.substr("text", F.lit(1), half(F.col("prev_n_chars"))).alias("head"), F.col("fp").alias("next_fp"))
-        .groupBy(*KEY).agg(F.first("head").alias("head"), F.first("next_fp").alias("next_fp"))
+        dealt.join(neighbours(with_key(docs)), KEY)
+        .select(*[F.col(f"prev_{c}").alias(c) for c in KEY], F.col("text").alias("next_text"))
+        .groupBy(*KEY).agg(F.first("next_text").alias("next_text"))
     )
     n = F.char_length("text")
     rows = dealt.join(sent, KEY).select(
-        F.when(F.col("named"), F.col("key")).alias("doc_id"), "text", "fp", "next_fp", n.cast("long").alias("n_chars"),
-        F.concat(F.substr("text", F.lit(1), n - half(n)), F.col("head")).alias("edited"))
+        F.when(F.col("named"), F.col("key")).alias("doc_id"), "text", "next_text", n.cast("long").alias("n_chars"),
+        F.concat(F.substr("text", F.lit(1), n - half(n)), F.substr("next_text", F.lit(1), half(n))).alias("edited"))
+    rows = with_fingerprint(rows, "text", "fp")
+    rows = with_likeness(with_fingerprint(rows, "next_text", "next_fp"), "fp", "next_fp", "near_next").drop("next_text", "next_fp")
     rows = with_fingerprint(rows, "edited", "edited_fp")
-    rows = with_likeness(rows, "fp", "edited_fp", "near_edited")
-    return with_likeness(rows, "fp", "next_fp", "near_next")
+    return with_likeness(rows, "fp", "edited_fp", "near_edited")

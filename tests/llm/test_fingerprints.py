@@ -1,6 +1,7 @@
 """Fingerprints against a plain version in Python."""
 
 import hashlib
+import random
 
 import pytest
 import xxhash
@@ -107,3 +108,20 @@ def test_repeated_rows_and_one_row(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return [f"w{r.randrange(10**6)}" for _ in range(n)]
+
+
+def near_next(spark, first, second):
+    return unhex(found(spark, [(1, " ".join(first)), (2, " ".join(second))]))[1][5]
+
+
+def test_a_passage_keeps_its_anchors_in_long_texts(spark):
+    passage, a, b = words(0, 200), words(1, 6000), words(2, 6000)
+    rows = [(1, " ".join(a[:3000] + passage + a[3000:])), (2, " ".join(b[:1000] + passage + b[1000:])), (3, " ".join(passage))]
+    got = unhex(found(spark, rows))
+    one, two, own = ({x.split("@")[0] for x in got[i][2].split()} for i in (1, 2, 3))
+    assert len(own) > 70 and own <= one and own <= two and got[1][5] > 0.01
