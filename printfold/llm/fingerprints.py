@@ -7,8 +7,9 @@ A caller may ask for the ``size`` anchors of smallest hash only (a bottom-k sket
 are depends on the whole text.
 
 Two fingerprints are compared where both are complete: everywhere, or with sketches up to the smaller
-of their largest hashes. Anchors match when their hash is equal and their displacement is within
-``slack`` words of the median one; likeness is matches / (anchors of both - matches).
+of their largest hashes. Anchors of equal hash match when their displacement is within ``slack`` words
+of the median one, or is one of ``group`` displacements that lie within ``slack`` words, so that both
+sides of an insertion and a moved passage count; likeness is matches / (anchors of both - matches).
 
 Defined results: a null text is empty; a text without words has an empty fingerprint, which is 1 like
 another empty one and 0 like any other; a text without an anchor (under ``k`` words, say) has all its
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from printfold.session import work_dir
 
-K, S, SLACK = 5, 2, 16
+K, S, SLACK, GROUP = 5, 2, 16, 4
 SIZE = (1 << 31) - 1  # all anchors: no array holds more
 BLANKS, WORD_GAP = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 POSITION_BITS = 31
@@ -96,7 +97,7 @@ def as_text(fingerprint: Column) -> Column:
         F.lower(F.hex(hash_of(a))), F.lit("@"), place_of(a).cast("string"))), " ")
 
 
-def with_likeness(df: DataFrame, a: str, b: str, name: str, size=SIZE, slack=SLACK) -> DataFrame:
+def with_likeness(df: DataFrame, a: str, b: str, name: str, size=SIZE, slack=SLACK, group=GROUP) -> DataFrame:
     """Add column ``name``, the likeness of the fingerprints in columns ``a`` and ``b``.
 
     Equal hashes meet by sorting both together, each with a last bit that tells ``b`` from ``a``.
@@ -110,12 +111,18 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str, size=SIZE, slack=SLA
     moved = lambda x, i: F.when(
         (i > 0) & (F.shiftrightunsigned(x, 32) == F.shiftrightunsigned(before(i), 32)),
         (place(x) - place(before(i))) * F.when(x.bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1))
+
+    def grouped(i):
+        """Whether the move at i is in a run of ``group`` moves, in order, that lie within ``slack``."""
+        runs = [F.get("_moves", i + (j + group - 1)) - F.get("_moves", i + j) <= slack for j in range(1 - group, 1)]
+        return F.coalesce(F.greatest(*runs), F.lit(False))
+
     return (
         df.withColumn("_limit", F.least(limit(a), limit(b)))
         .withColumn("_both", F.sort_array(F.concat(held(a, 0), held(b, 1))))
         .withColumn("_moves", F.sort_array(F.filter(F.transform("_both", moved), lambda d: d.isNotNull())))
         .withColumn("_middle", F.get("_moves", F.floor(F.size("_moves") / 2).cast("int")))
-        .withColumn("_match", F.size(F.filter("_moves", lambda d: F.abs(d - F.col("_middle")) <= slack)))
+        .withColumn("_match", F.size(F.filter("_moves", lambda d, i: (F.abs(d - F.col("_middle")) <= slack) | grouped(i))))
         .withColumn(name, F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0)
                     .when((F.size(a) == 0) | (F.size(b) == 0), 0.0)
                     .otherwise(F.col("_match") / (F.size("_both") - F.col("_match"))))

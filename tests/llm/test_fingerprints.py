@@ -125,3 +125,12 @@ def test_a_passage_keeps_its_anchors_in_long_texts(spark):
     got = unhex(found(spark, rows))
     one, two, own = ({x.split("@")[0] for x in got[i][2].split()} for i in (1, 2, 3))
     assert len(own) > 70 and own <= one and own <= two and got[1][5] > 0.01
+
+
+def test_both_sides_of_an_insertion_count(spark):
+    text, more = words(1, 2000), words(2, 400)
+    assert near_next(spark, text, text[:1000] + more[:20] + text[1000:]) > 0.95
+    several = text[:500] + more[:50] + text[500:1200] + more[50:] + text[1200:]
+    assert 0.7 < near_next(spark, text, several) < 0.9
+    assert near_next(spark, text, text[300:] + text[:300]) > 0.95
+    assert near_next(spark, text, words(3, 2000)) == 0
