@@ -1,15 +1,18 @@
 """Information-theoretic sanitisation of personal data.
 
 Patterns find the protected entities: e-mail and ip addresses, card and phone numbers. Then the corpus
-tells which other words give an entity away. For an entity e and a word t that stands near it, with
-document frequencies n, the disclosure is the pointwise mutual information of t and e relative to the
-information content of e:
+tells which other words give an entity away. For an entity e and a word t anywhere in a document that
+names it, with document frequencies n, the disclosure is the pointwise mutual information of t and e
+relative to the information content of e:
 
     pmi(t, e) / ic(e) = 1 - log(n(t) / n(t, e)) / log(N / n(e))
 
 It is 1 when t occurs with e only, and 0 when t is independent of it. Words at or above ``remove`` are
 removed in the documents that name e, words at or above ``generalise`` are replaced by their shape. A
-pair must be seen in ``support`` distinct contexts, so that copies of one text prove nothing.
+pair must be seen in ``support`` documents in which the ``around`` terms on either side of t differ, so
+that copies of one text prove nothing, nor do near copies away from where they differ. A word is a run
+of two or more letters and digits, with a letter. Of an entity in one document all rare words there
+measure the same, 1, so nothing is added for it.
 
 Defined results: a null text is empty; spans of one kind never overlap; base spans stay whatever the
 method finds, and a word span that touches one is not added; repeated rows are counted as documents
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 WORD = "word"
-NEAR_CHARS, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.7, 0.9
+AROUND, SUPPORT, GENERALISE, REMOVE = 5, 2, 0.7, 0.9
 
 # Where a run of the first class begins, or where the last match ended.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,500}+"
@@ -32,7 +35,7 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # A whole chain of digits with single separators, of 14 to 19 digits.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"[\p{L}]{3,}"
+TERM = r"(?<![\p{L}\p{N}])(?=\p{N}*+\p{L})[\p{L}\p{N}]{2,}+"
 
 
 def _digits(text: Column) -> Column:
@@ -107,7 +110,7 @@ def entity(kind: Column, hit: Column) -> Column:
 
 
 def terms_of(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -117,29 +120,35 @@ def with_key(docs: DataFrame) -> DataFrame:
         "_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
 
 
-def mentions(keyed: DataFrame, near=NEAR_CHARS) -> DataFrame:
-    """(_id, _tie, entity, context): each mention with the text around it, the mention left out."""
-    rows = keyed.select("_id", "_tie", "_text", F.explode(base_spans(F.col("_text"))).alias("m"))
-    begin = F.greatest(F.col("m.start") - near, F.lit(0))
-    # Whole words only: what the cut leaves of a word at either end goes.
-    left = F.regexp_replace(F.substr("_text", begin + 1, F.col("m.start") - begin), r"^\S*", "")
-    left = F.when(begin == 0, F.substr("_text", F.lit(1), F.col("m.start"))).otherwise(left)
-    right = F.regexp_replace(F.substr("_text", F.col("m.end") + 1, F.lit(near)), r"\S*$", "")
-    right = F.when(F.col("m.end") + near >= F.char_length("_text"), F.substr("_text", F.col("m.end") + 1)).otherwise(right)
-    return rows.select("_id", "_tie", entity(F.col("m.kind"), F.col("m.hit")).alias("entity"),
-                       F.concat(left, F.lit(" | "), right).alias("context"))
+def mentions(keyed: DataFrame) -> DataFrame:
+    """(_id, _tie, _text, _base, entities) of the rows that name any, each once."""
+    rows = keyed.select("_id", "_tie", "_text").withColumn("_base", base_spans(F.col("_text"))).where(F.size("_base") > 0)
+    return rows.withColumn("entities", F.array_distinct(F.transform("_base", lambda m: entity(m["kind"], m["hit"]))))
 
 
-def disclosing(keyed: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GENERALISE) -> DataFrame:
+def disclosing(keyed: DataFrame, around=AROUND, support=SUPPORT, generalise=GENERALISE) -> DataFrame:
     """(entity, term, disclosure) at or above ``generalise``, from counts over all documents."""
-    found = mentions(keyed, near)
-    named = found.groupBy("entity").agg(F.count_distinct("_id", "_tie").alias("n_entity"))
-    pairs = found.select("entity", F.xxhash64("context").alias("context"), "_id", "_tie",
-                         F.explode(terms_of(F.col("context"))).alias("term"))
-    near_by = pairs.groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_tie").alias("n_both"))
-    near_by = near_by.where(F.col("contexts") >= support).drop("contexts")
-    n_term = keyed.select(F.explode(terms_of(F.col("_text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    found = mentions(keyed)
+    named = found.select("_id", "_tie", F.explode("entities").alias("entity")).groupBy("entity").agg(
+        F.count_distinct("_id", "_tie").alias("n_entity"))
+    # An entity of fewer documents than are needed cannot qualify, so its words are not counted.
+    often = named.where(F.col("n_entity") >= support)
+    masked = F.transform("_base", lambda m: m.withField("kind", F.lit("|")))
+    context = lambda t, i: F.struct(t.alias("term"), F.xxhash64(F.slice(
+        "_all", F.greatest(i - around, F.lit(0)) + 1, F.least(i, F.lit(around)) + around + 1)).alias("context"))
+    texts = (
+        found.withColumn("entity", F.explode("entities")).join(often, "entity", "left_semi")
+        .withColumn("_all", terms_of(redact(F.col("_text"), masked)))
+    )
+    pairs = texts.select("entity", "_id", "_tie", F.explode(F.transform("_all", context)).alias("t"))
+    # A document has one context of a term, the smallest, however often the term is in it.
+    near_by = (
+        pairs.groupBy("entity", "t.term", "_id", "_tie").agg(F.min("t.context").alias("context"))
+        .groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count("*").alias("n_both"))
+        .where(F.col("contexts") >= support).drop("contexts")
+    )
+    each = F.array_distinct(terms_of(F.col("_text")))
+    n_term = keyed.select(F.explode(each).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     n_docs = F.lit(keyed.count())
     ratio = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(n_docs / F.col("n_entity"))
     return (
@@ -148,16 +157,16 @@ def disclosing(keyed: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GE
     )
 
 
-def with_spans(docs: DataFrame, near=NEAR_CHARS, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
+def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """Rows of ``docs`` with ``base`` and ``added`` spans (start, end, kind, hit) in place of columns so named."""
     keyed = with_key(docs)
-    telling = disclosing(keyed, near, support, generalise)
-    named = mentions(keyed, near).select("_id", "_tie", "entity").distinct()
+    telling = disclosing(keyed, around, support, generalise)
+    named = mentions(keyed).select("_id", "_tie", F.explode("entities").alias("entity")).distinct()
     found = named.join(telling, "entity").groupBy("_id", "_tie").agg(
         F.collect_set("term").alias("_terms"),
         F.collect_set(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("_removed"))
     rows = keyed.join(found, ["_id", "_tie"], "left").withColumn("base", base_spans(F.col("_text")))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.reverse(F.sort_array("_terms")), "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.reverse(F.sort_array("_terms")), "|"), F.lit(r")(?![\p{L}\p{N}])"))
     hits = _matches(F.col("_text"), pattern, F.col("_terms").isNotNull())
     free = F.filter(hits, lambda h: ~F.exists("base", lambda b: (h["start"] < b["end"]) & (b["start"] < h["end"])))
     removed = lambda h: F.array_contains("_removed", F.lower(h["hit"]))

@@ -125,3 +125,17 @@ def test_query_digest(spark):
         expected = plain(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
         assert r.n_email == expected.count("email:") and r.n_phone == expected.count("phone:")
+
+
+def test_far_short_and_numbered_words_of_two_contexts(spark):
+    r = random.Random(7)
+    common = [f"common{n}" for n in "abcdefghijklmnop"]
+    text = lambda n: " ".join(r.choices(common, k=n))
+    rows = [text(40) for _ in range(200)]
+    rows += [f"{text(9)} Li {text(9)} agent47 {text(40)} wrote@corp.example {text(9)}" for _ in range(2)]
+    near = f"{text(20)} Quimby {text(20)} lone@corp.example {text(9)}"
+    rows += [near, near + " common", near + " more"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {x.doc_id: {m.hit for m in x.added} for x in with_spans(df).collect()}
+    assert added[200] == added[201] == {"Li", "agent47"}
+    assert all(not added[i] for i in (*range(200), 202, 203, 204))
