@@ -28,6 +28,7 @@ BUCKETS, SLICES, MAX_LANGUAGES = 1 << 16, 64, 256
 SMOOTHING, FULL_ROUNDS, NEXT_ROUNDS = 0.5, 10, 5
 CHUNK_BYTES, TABLE_WORDS = 1 << 20, 300_000
 UNKNOWN = "und"
+BACKGROUND, CHANCE = -float(np.log(BUCKETS)), 2.0  # log likelihood of a trigram in no language; deviations
 MIX = np.uint32(0x9E3779B1)
 
 # ASCII that is no letter becomes a blank; other bytes stay.
@@ -212,7 +213,54 @@ def learn(docs: DataFrame):
     return train(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("text", "lang"))
 
 
-def keep_identified(docs: DataFrame, model, least=0.3) -> DataFrame:
-    """The rows of ``docs`` in a language the model knows, with at least that share of one."""
-    found = identify(docs, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+def keep_identified(docs: DataFrame, model) -> DataFrame:
+    """The rows of ``docs`` in languages the model knows, in whatever mixture.
+
+    Words of a language fit it as its training texts do; others fit none better than ``BACKGROUND``. A
+    document is dropped when its words, each in its best language, are nearer to the background by more
+    than chance explains in a text of its length.
+    """
+    names, logs = model
+    shared = docs.sparkSession.sparkContext.broadcast((logs, *_usual(logs)) if names else None)
+    return docs.mapInArrow(_keep(shared), docs.schema)
+
+
+def _usual(logs):
+    """Mean and variance of the log likelihood of a training trigram, for each language."""
+    counts = np.exp(logs.astype(np.float64))
+    counts -= counts.min(1, keepdims=True)  # in proportion to those of training
+    total = np.maximum(counts.sum(1), 1e-300)
+    mean = np.where(counts.any(1), (counts * logs).sum(1) / total, BACKGROUND)
+    return mean, (counts * (logs - mean[:, None]) ** 2).sum(1) / total
+
+
+def _known(text, logs, mean, variance) -> bool:
+    """Whether the words of a text fit the languages better than the background."""
+    fit = bound = spread = 0.0
+    for piece in pieces(b" " + text + b" "):
+        words = piece.split()
+        if not words:
+            continue
+        found = trigrams(b" " + b" ".join(words) + b" ")[0]
+        n = np.array([len(w) for w in words])
+        sums = np.add.reduceat(logs[found], np.cumsum(n) - n, dtype=np.float64)
+        best = sums.argmax(1)
+        fit += np.maximum(sums.max(1), n * BACKGROUND).sum()
+        bound += (n * (mean[best] + BACKGROUND) / 2).sum()
+        spread += (n * variance[best]).sum()
+    return fit >= bound - CHANCE * spread**0.5
+
+
+def _keep(shared):
+    def run(batches):
+        model = shared.value
+        if model:
+            logs, mean, variance = model
+            logs = logs.T.copy()
+        for batch in batches:
+            for part in slices(batch, "text", CHUNK_BYTES):
+                found = texts(part.column("text"))
+                yield part.filter(pa.array([bool(model) and has_letter(t) and bool(_known(cleaned(t), logs, mean, variance))
+                                            for t in found], pa.bool_()))
+
+    return run

@@ -1,5 +1,6 @@
 """Held-out accuracy, mixtures, and rows that have no language."""
 
+import random
 import zlib
 
 import numpy as np
@@ -57,3 +58,25 @@ def test_penalty_selects_one_language_for_plain_texts():
     like[:, 0] = 1
     share = proportions(like, np.array([400]))
     assert share[0, 0] == 1 and share[0, 1:].sum() == 0
+
+
+def test_only_known_languages_are_kept(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("n_chars > 500")
+    model = train(docs.where("lang <> 'de'").select("text", "lang"))
+    r = random.Random(4)
+    mash = [" ".join("".join(r.choices(letters, k=r.randrange(3, 9))) for _ in range(80)) for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежз")]
+    known = {lang: docs.where(f"lang = '{lang}'").first().text.split()[:60] for lang in ("en", "es", "fr")}
+    even = " ".join(w for words in known.values() for w in words)
+    new = spark.createDataFrame([(-1, mash[0]), (-2, mash[1]), (-3, even), (-4, "12 3")], "doc_id long, text string")
+    kept = {x.doc_id for x in keep_identified(docs.select("doc_id", "text").union(new), model).collect()}
+    rows = docs.collect()
+    german = {x.doc_id for x in rows if x.lang == "de"}
+    assert kept & {-1, -2, -3, -4} == {-3} and {x.doc_id for x in rows} - german <= kept
+    assert len(german & kept) < 0.05 * len(german)
+
+
+def test_even_mixture_of_four_languages_is_kept(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("n_chars > 1000")
+    parts = [docs.where(f"lang = '{lang}'").first().text.split()[:60] for lang in ("en", "de", "es", "fr")]
+    df = spark.createDataFrame([(1, " ".join(sum(parts, [])))], "doc_id long, text string")
+    assert keep_identified(df, learn(docs)).count() == 1
