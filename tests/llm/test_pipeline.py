@@ -1,6 +1,7 @@
 """Stages of the pipeline, each against a plain version over its own input, and queries against SQL."""
 
 import re
+import zlib
 
 import pytest
 from oracle import connect, difference
@@ -104,3 +105,11 @@ def test_stages_follow_each_other(spark):
 @pytest.mark.parametrize("stage", range(5))
 def test_empty_documents(spark, raw, stage):
     assert pipeline.STAGES[stage][1](spark, raw.limit(0), FOLDER).count() == 0
+
+
+def test_language_learns_from_every_label(spark, raw):
+    text = "жили были дед и баба у самого синего моря " * 8
+    ids = [i for i in range(95000, 95100) if zlib.crc32(str(i).encode()) % 4 == 2][:3]
+    rare = spark.createDataFrame([(i, text, "ru", "src0", len(text)) for i in ids], raw.schema)
+    kept = pipeline.language(spark, raw.unionByName(rare), FOLDER)
+    assert {r.doc_id for r in kept.where("lang = 'ru'").collect()} == set(ids)
