@@ -10,11 +10,12 @@ A log row is (conv_id, turn, seq, kind, role, text). Within a message, events ap
 The role of a message is that of its last event with one.
 
 Template: ``<turn ROLE>\\n`` + text + ``</turn>\\n`` per message. Inside a text a backslash becomes two
-and ``<`` becomes ``\\l``, so no control string can occur there and both steps can be undone.
+and ``<`` becomes ``\\l``, inside a role ``>`` becomes ``\\g`` too, so no control string can occur there and
+all steps can be undone.
 
-Defined results: a null text is empty, a null kind is a delta, a null role is ``unknown`` (only
-letters, digits, ``_`` and ``-`` of a role are kept); null ids form a conversation or turn of their
-own, nulls first; equal ``seq`` are ordered by kind and text; an empty log gives no rows; other
+Defined results: a null text is empty, a null kind is a delta, a null role is ``unknown``; any other
+string is a role and is learned from only if it is one of those to learn from, character by character;
+null ids form a conversation or turn of their own, nulls first; equal ``seq`` are ordered by kind and text; an empty log gives no rows; other
 columns are ignored.
 
 One conversation is one output value, as a chat template needs it; positions are summed by a window
@@ -37,6 +38,16 @@ def unescape(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\\\\", -1), lambda s: F.replace(s, F.lit("\\l"), F.lit("<"))), "\\")
 
 
+def escape_role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit(">"), F.lit("\\g"))
+
+
+def unescape_role(role: Column) -> Column:
+    """Undo ``escape_role``."""
+    plain = lambda s: F.replace(F.replace(s, F.lit("\\g"), F.lit(">")), F.lit("\\l"), F.lit("<"))
+    return F.array_join(F.transform(F.split(role, r"\\\\", -1), plain), "\\")
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, turn, role, text) of an event log."""
     kind = F.coalesce("kind", F.lit("delta"))
@@ -68,8 +79,8 @@ def render(messages: DataFrame, learn=("assistant",)) -> DataFrame:
     ``loss_spans`` are (start, end) in code points of ``formatted``, end exclusive, one for each
     message of a role in ``learn``.
     """
-    role = F.regexp_replace(F.coalesce("role", F.lit("unknown")), "[^A-Za-z0-9_-]", "")
-    head, body = F.concat(F.lit(OPEN), role, F.lit(SHUT)), escape(F.coalesce("text", F.lit("")))
+    role = F.coalesce("role", F.lit("unknown"))
+    head, body = F.concat(F.lit(OPEN), escape_role(role), F.lit(SHUT)), escape(F.coalesce("text", F.lit("")))
     turns = messages.select("conv_id", "turn", role.alias("role"), head.alias("head"), body.alias("body"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "body").rowsBetween(Window.unboundedPreceding, -1)
     size = F.char_length("head") + F.char_length("body") + len(END)
@@ -90,7 +101,7 @@ def read_back(formatted: Column) -> Column:
     """The turns (role, text) that a rendered conversation holds."""
     parts = F.split(formatted, END, -1)
     return F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda p: F.struct(
-        F.substr(F.split_part(p, F.lit(SHUT), F.lit(1)), F.lit(len(OPEN) + 1)).alias("role"),
+        unescape_role(F.substr(F.split_part(p, F.lit(SHUT), F.lit(1)), F.lit(len(OPEN) + 1))).alias("role"),
         unescape(F.substr(p, F.char_length(F.split_part(p, F.lit(SHUT), F.lit(1))) + len(SHUT) + 1)).alias("text"),
     ))
 

@@ -9,16 +9,19 @@ EXTRA = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\
 
 
 def as_log(turns):
-    """Turns as a log: a draft, its regeneration, then the text in two deltas; repeats stay apart."""
+    """Turns as a log whose rows come late first: a draft, its regeneration, a slip, an edit to half the text, the rest.
+
+    Repeated turns stay apart.
+    """
     half = F.floor(F.char_length("text") / 2).cast("int")
     text = turns.select("conv_id", F.struct("turn", "role", "text", "copy").alias("turn"), "role",
                         F.coalesce("text", F.lit("")).alias("text"))
     event = lambda seq, kind, value: F.struct(
         F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), value.alias("text"))
     return text.select("conv_id", "turn", "role", F.explode(F.array(
-        event(0, "delta", F.lit("...")), event(1, "regenerate", F.lit(None).cast("string")),
-        event(2, "delta", F.substr("text", F.lit(1), half)),
-        event(3, "delta", F.substr("text", half + 1)))).alias("e")).select("conv_id", "turn", "role", "e.*")
+        event(4, "delta", F.substr("text", half + 1)), event(2, "delta", F.lit("slip")),
+        event(0, "delta", F.lit("...")), event(3, "edit", F.substr("text", F.lit(1), half)),
+        event(1, "regenerate", F.lit(None).cast("string")))).alias("e")).select("conv_id", "turn", "role", "e.*")
 
 
 def op10_chat_formatting(spark, folder):
@@ -38,10 +41,10 @@ def op10_chat_formatting(spark, folder):
 
 SQL_CHAT = r"""
 WITH t AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
 ), l AS (
-  SELECT *, length('<turn ' || role || '>' || chr(10) || replace(replace(text, '\', '\\'), '<', '\l') || '</turn>' || chr(10)) AS size
+  SELECT *, length('<turn ' || replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g') || '>' || chr(10) || replace(replace(text, '\', '\\'), '<', '\l') || '</turn>' || chr(10)) AS size
   FROM t
 )
 SELECT conv_id, count(*) AS n_turns,

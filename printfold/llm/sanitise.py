@@ -18,8 +18,7 @@ Defined results: a null text is empty; spans of one kind never overlap; base spa
 method finds, and a word span that touches one is not added; repeated rows are counted as documents
 and each get their spans; an empty table gives no rows; other columns are kept by ``sanitise``.
 
-Base patterns are written for Java so that no long run of characters is retried or recursed over; a
-domain counts up to 500 further labels.
+Base patterns are written for Java so that no long run of characters is retried or recursed over.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +29,7 @@ WORD = "word"
 AROUND, SUPPORT, GENERALISE, REMOVE = 5, 2, 0.7, 0.9
 
 # Where a run of the first class begins, or where the last match ended.
-EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,500}+"
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # A whole chain of digits with single separators, of 14 to 19 digits.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9])"

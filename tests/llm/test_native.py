@@ -28,6 +28,28 @@ def test_any_text_survives_the_template(spark):
         assert list(c.loss) == [t for role, t in own if role == "assistant"]
 
 
+def test_any_role_survives_the_template(spark):
+    roles = ["tool call", "système", "assistant!", "assistant ", "Assistant", "", "a>\nb", "</turn>\n", "\\g>\\\\l<", ">", "<turn user>\n", "役", None, "assistant"]
+    r = random.Random(6)
+    roles += ["".join(r.choices("\\<>lg/turn \n", k=r.randrange(12))) for _ in range(200)]
+    rows = [(n, 0, role, f"text >\n {n}") for n, role in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for c in render(df).withColumn("turns", read_back(F.col("formatted"))).collect():
+        role = roles[c.conv_id]
+        assert [tuple(t) for t in c.turns] == [("unknown" if role is None else role, f"text >\n {c.conv_id}")]
+        assert len(c.loss_spans) == (role == "assistant")
+
+
+def test_clashing_columns_equal_places_and_repeats(spark):
+    events = [(1, 0, 0, "delta", "user", "b"), (1, 0, 0, "delta", "user", "a"), (1, 0, 0, "edit", None, "c"), (1, 1, 5, "delta", "user", "x"),
+              (1, 1, 5, "delta", "user", "x"), (1, 1, 4, "regenerate", "assistant", None)]
+    types = f"{EVENTS}, at long, event string, log string, formatted string, loss_spans string, head string"
+    df = spark.createDataFrame([(*e, 1, "e", "l", "f", "s", "h") for e in events], types)
+    got = format_log(df.repartition(3)).first()  # equal places go by kind, then text; a repeated event counts again
+    assert got.formatted == "<turn user>\nc</turn>\n<turn user>\nxx</turn>\n" and got.loss_spans == []
+    assert format_log(df.limit(0)).count() == 0
+
+
 def plain_fold(events):
     text, role = {}, {}
     for conv, turn, _, kind, who, part in sorted(events, key=lambda e: (e[0], e[1], e[2])):

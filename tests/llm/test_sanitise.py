@@ -60,6 +60,7 @@ def test_base_spans_at_edges(spark):
         "4111 1111 1111 1111", "4111-1111-1111-1111 5500000000000004", "4111  1111 1111 1111", "+1 (555) 123-4567.",
         "+1234567890123456", "+49 30 1234567 +1 555 0100 22", "+4111111111111111", "0" * 14, "0 " * 14, "1" * 5000,
         "1 " * 5000, "+1" + "-" * 3000 + "2", "a" * 20000 + "@", ("user@host.org " * 400), "4111111111111111" * 2,
+        "a@b" + ".c" * 700, "x a@b" + ".cc" * 100_000 + ". b@c.d", "a@b" + ".c" * 501 + "@d.e",
     ])
 
 
