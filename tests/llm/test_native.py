@@ -1,6 +1,7 @@
 """Chat formatting, URL rules and source mixing against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from printfold.llm.chat_format import fold_events, format_log, loss_texts, read_back, render
 from printfold.llm.mixing import budgets, leaf_sums, mix, narrow_rows
 from printfold.llm.query_urls import op6_url_filter
-from printfold.llm.url_filter import RULES, judge, labelled_urls, train
+from printfold.llm.url_filter import RULES, judge, labelled_rows, labelled_urls, train
 
 EVENTS = "conv_id long, turn long, seq long, kind string, role string, text string"
 
@@ -120,6 +121,38 @@ def test_url_model_learns_its_table_and_like_hosts(spark):
     assert not wrong
 
 
+def test_probability_is_that_of_a_plain_version(spark):
+    bias, weights = model = train(labelled_urls(spark))
+    urls = [None, "http://", "http://Casino-Win.example.com/en/3?q", "https://blog.therth.example.org/de/25824.html", "a://aaaaaa/aaaaaa"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    grams = {}
+    for u in urls:
+        cut = [f"^{part}$" for part in parts(u)]
+        grams[u] = {f"{mark}{k}{t[i:i + k]}" for mark, t in zip("hp", cut) for k in (3, 4) for i in range(max(len(t) - k + 1, 1))}
+    names = spark.createDataFrame([(g,) for g in set().union(*grams.values())], "g string")
+    number = {r.g: r.n for r in names.select("g", F.pmod(F.hash("g"), F.lit(len(weights))).alias("n")).collect()}
+    for r in judge(df, model).collect():
+        total = bias + sum(weights[b] for b in {number[g] for g in grams[r.url]})
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9
+
+
+def test_whole_hosts_held_out(spark):
+    """A fifth of the names is kept from the fit at a time; no url of a name is on both sides."""
+    name = lambda url: [x for x in url.split("/")[2].split(".") if x not in ("www", "m", "blog")][0]
+    rows = labelled_rows()
+    names = sorted({name(u) for _, u in rows})
+    hits = {True: 0, False: 0}
+    blocked = 0
+    for fold in range(5):
+        out = set(names[fold::5])
+        model = train(labelled_urls(spark, [r for r in rows if name(r[1]) not in out]))
+        for r in judge(labelled_urls(spark, [r for r in rows if name(r[1]) in out]), model).collect():
+            blocked += r.score >= 0.5
+            hits[bool(r.label)] += r.score >= 0.5
+    bad = sum(label for label, _ in rows)
+    assert hits[True] / bad > 0.75 and hits[True] / blocked > 0.8
+
+
 def plain_fill(children, budget):
     """Share a budget by weight, again and again, until it is spent or all are full."""
     share = {k: 0.0 for k in children}
