@@ -55,14 +55,22 @@ def drop_dir(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def folder_names(spark: SparkSession, path: str) -> list:
-    """Names of the folders directly below a folder of the library's own."""
+def _listed(spark: SparkSession, path: str) -> list:
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    return [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
+    return list(files.listStatus(folder)) if files.exists(folder) else []
+
+
+def folder_names(spark: SparkSession, path: str) -> list:
+    """Names of the folders directly below a folder of the library's own."""
+    return [f.getPath().getName() for f in _listed(spark, path) if f.isDirectory()]
+
+
+def file_names(spark: SparkSession, path: str) -> list:
+    """Names of the data files directly in a folder of the library's own."""
+    names = [f.getPath().getName() for f in _listed(spark, path) if not f.isDirectory()]
+    return [n for n in names if n[0] not in "._"]
 
 
 def keep_state_off_heap(spark: SparkSession) -> None:

@@ -7,7 +7,8 @@ import pytest
 from printfold.plans import audit, ingest, publish
 from printfold.schema import CARDS, CHILDREN, FORMATS, child_schema
 from printfold.sources.images import image_inventory
-from printfold.sources.store import read_appended, read_table
+from printfold.sources.prints import existing_prints
+from printfold.sources.store import read_table
 
 BASE = "https://pictures.example/cards"
 
@@ -65,7 +66,7 @@ def run(spark, feed, tmp_path_factory):
         publish(spark, store, target, BASE)
         tables = {t: rows(read_table(spark, target, t)) for t in ("cards", *CHILDREN)}
         tables["card_prints"] = rows(
-            read_appended(spark, f"{target}/card_prints", child_schema("card_prints"))
+            existing_prints(spark, f"{target}/card_prints")
         )
         fetch = read_table(spark, reports, "fetch_list").collect()
         rounds.append({
@@ -146,9 +147,7 @@ def test_children(spark, run):
     keywords = read_table(spark, run["target"], "card_keywords").collect()
     assert [cards[r.card_id] for r in keywords] == [hexkey(8)] * 2
     assert len({r.id for r in keywords}) == 2
-    prints = read_appended(
-        spark, f"{run['target']}/card_prints", child_schema("card_prints")
-    ).collect()
+    prints = existing_prints(spark, f"{run['target']}/card_prints").collect()
     assert len(prints) == 12 and len({r.id for r in prints}) == 12
     assert sorted(p.released for p in prints if cards[p.card_id] == hexkey(1)) == [
         20190101, 20200110, 20210501, 20210501

@@ -9,7 +9,8 @@ from printfold.operators.flatten import flatten_prints, narrow_prints
 from printfold.operators.fold import checked, fold_cards
 from printfold.schema import CARDS, CHILDREN, child_schema
 from printfold.sources.feed import read_json_array, stream_json_array
-from printfold.sources.store import current_version, read_appended, read_table, write_snapshot
+from printfold.sources.prints import existing_prints
+from printfold.sources.store import current_version, read_table, write_snapshot
 from printfold.streaming.fold import compact, fold_stream, read_folded, write_changes
 from printfold.streaming.load import append_print_batches, load_changes
 
@@ -70,12 +71,12 @@ def test_stream_loads_tables(spark, parts, folder):
         children = read_table(spark, target, table).collect()
         assert {c.card_id for c in children} <= ids
         assert len({c.id for c in children}) == len(children)
-    added = read_appended(spark, f"{target}/card_prints", child_schema("card_prints")).collect()
+    added = existing_prints(spark, f"{target}/card_prints").collect()
     assert len(added) == 12 and {p.card_id for p in added} == ids
 
     # The same input from the start again: nothing is added twice.
     append_print_batches(prints, target, folder("c3")).awaitTermination()
-    assert read_appended(spark, f"{target}/card_prints", child_schema("card_prints")).count() == 12
+    assert existing_prints(spark, f"{target}/card_prints").count() == 12
     # Nor does a merge without changes write anything, also after a version that no batch made.
     write_snapshot(spark, {t: read_table(spark, target, t) for t in ("cards", *CHILDREN)}, target)
     assert load_changes(spark, folder("changes"), target, BASE) == 2 and current_version(spark, target) == 2
