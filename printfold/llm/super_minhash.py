@@ -40,6 +40,8 @@ LINKED = 80  # percent
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 TOLERANCE = 1e-8  # that a linked pair is dropped by its signatures
+BAND_BYTES = 6
+FILTER_BITS = 1 << 16, 1 << 26  # least and most of a filter of texts
 ELEMENTS = 1 << 17  # ranked at once, a byte for each register
 CHUNK_BYTES = 2 << 20
 SKETCH_ROWS, BLOCK_ROWS, BLOCK_CHARS = 4096, 2048, 8_000_000  # of a block
@@ -109,7 +111,7 @@ SKETCHED = "text_key bigint, chars bigint, n_shingles bigint, node bigint, check
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, chars, n_shingles, node, check, bands, sketch) of every row; the last four are null without words.
 
-    ``bands`` has 8 bytes for each band, ``sketch`` a byte for each register.
+    ``bands`` has six bytes for each band, ``sketch`` a byte for each register.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
@@ -127,7 +129,8 @@ def _sketch(batches):
             bands = np.zeros((len(full), BANDS), np.uint64)
             for k in range(ROWS):
                 bands = scrambled(bands + registers[:, k::ROWS] * A)
-            bands, sketch = iter(bands), iter((registers >> np.uint64(56)).astype(np.uint8))
+            bands = iter(np.ascontiguousarray(bands.reshape(-1, BANDS, 1).view(np.uint8)[:, :, :BAND_BYTES]))
+            sketch = iter((registers >> np.uint64(56)).astype(np.uint8))
             keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             node, check = ([int.from_bytes(k[i: i + 8], "little", signed=True) if k else None for k in keys] for i in (0, 8))
             yield pa.RecordBatch.from_arrays(
@@ -148,10 +151,12 @@ def classes(sketched: DataFrame) -> DataFrame:
 
 
 def banded(found: DataFrame) -> DataFrame:
-    """(key, node) of every band."""
+    """(key, node) of every band that several nodes share."""
     places = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    keys = F.transform(places, lambda b: F.xxhash64(b, F.substr("bands", b * 8 + 1, F.lit(8))))
-    return found.select("node", F.explode(keys).alias("key"))
+    keys = F.transform(places, lambda b: F.xxhash64(b, F.substr("bands", b * BAND_BYTES + 1, F.lit(BAND_BYTES))))
+    bands = found.select("node", F.explode(keys).alias("key"))
+    shared = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    return bands.join(shared.select("key"), "key", "left_semi")
 
 
 def bucketed(bands: DataFrame) -> DataFrame:
@@ -214,6 +219,35 @@ def is_linked(shared, size, sizes):
     return 100 * shared >= LINKED * (size + sizes - shared)
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (node, text_key, ...) with its texts.
+
+    A filter of bits says which documents can be wanted before their texts are shuffled. It has sixteen bits a
+    text up to 8 MB in all; beyond that it lets more texts through and loses none.
+    """
+    spark = docs.sparkSession
+    bits = min(max(FILTER_BITS[0], 1 << (16 * wanted.count()).bit_length()), FILTER_BITS[1])
+    place = F.pmod(F.xxhash64("text_key"), F.lit(bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(text_key), {bits}) % 64 as int))")
+    words = wanted.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    known = np.zeros(bits // 64, np.int64)
+    known[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = spark.sparkContext.broadcast(known)
+    rows = docs.select("text", F.xxhash64("text").alias("text_key")).withColumn("place", place)
+    rows = rows.mapInArrow(_can_be_wanted(shared), "text string, text_key bigint")
+    return wanted.join(rows.groupBy("text_key").agg(F.first("text").alias("text")), "text_key")
+
+
+def _can_be_wanted(shared):
+    def run(batches):
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            known = shared.value[place >> 6] >> (place & 63) & 1
+            yield batch.filter(pa.array(known == 1)).select(["text", "text_key"])
+
+    return run
+
+
 # --- 3., 4. what is left, in blocks -----------------------------------------------------------
 
 
@@ -327,19 +361,21 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     bands = _written(spark, banded(found))
     buckets = _written(spark, bucketed(bands))
     likely = _written(spark, near_first(found, bands, buckets))
-    whole = docs.select("text", F.xxhash64("text").alias("text_key")).groupBy("text_key").agg(F.first("text").alias("text"))
     named = found.select("node", "chars", "sketch", F.col("keeper.text_key").alias("text_key"))
-    first = _written(spark, linked_pairs(likely, named.join(whole, "text_key").select("node", "text")))
+    in_pairs = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    whole = texts_of(docs, _written(spark, named.select("node", "text_key").join(in_pairs, "node")))
+    first = _written(spark, linked_pairs(likely, _written(spark, whole.select("node", "text"))))
 
     comp = F.coalesce("comp", "node").alias("comp")
     settled = _written(spark, found.select("node").join(parted(first), "node", "left").select("node", comp))
     rows = bands.join(buckets.where("members > 2").select("key"), "key").join(settled, "node").withColumnRenamed("key", "grp")
-    rows = mixed(rows, 3).join(found.select("node", "sketch"), "node").withColumn("chars", F.lit(0))
+    rows = mixed(_written(spark, rows), 3).join(found.select("node", "sketch"), "node").withColumn("chars", F.lit(0))
     survivors = _written(spark, in_blocks(rows, SKETCH_ROWS, "sketch").mapInArrow(_compare(False), "a bigint, b bigint"))
 
     joined = survivors.join(settled.toDF("a", "ca"), "a").join(settled.toDF("b", "cb"), "b")
     groups = components(joined.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).toDF("comp", "grp")
-    rows = mixed(settled.join(groups, "comp").join(named, "node"), 2).join(whole, "text_key")
+    rows = mixed(_written(spark, settled.join(groups, "comp").join(named, "node")), 2)
+    rows = _written(spark, texts_of(docs, _written(spark, rows)))
     second = in_blocks(rows, BLOCK_ROWS, "sketch", "text").mapInArrow(_compare(True), "a bigint, b bigint")
     return first.unionByName(_written(spark, second))
 
