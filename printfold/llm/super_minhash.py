@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from printfold.llm.components import components
 from printfold.llm.jaccard_join import Forest
-from printfold.llm.words import hash_table, slices, texts, values
+from printfold.llm.words import Table, slices, texts, values
 from printfold.session import work_dir
 
 LINKED = 80  # percent
@@ -42,9 +42,9 @@ REGISTERS = BANDS * ROWS
 TOLERANCE = 1e-8  # that a linked pair is dropped by its signatures
 BAND_BYTES = 6
 FILTER_BITS = 1 << 16, 1 << 26  # least and most of a filter of texts
-ELEMENTS = 1 << 17  # ranked at once, a byte for each register
-CHUNK_BYTES = 2 << 20
-SKETCH_ROWS, BLOCK_ROWS, BLOCK_CHARS = 4096, 2048, 8_000_000  # of a block
+ELEMENTS = 1 << 16  # ranked at once, a byte for each register
+CHUNK_BYTES, TABLE_WORDS = 1 << 20, 100_000
+SKETCH_ROWS, BLOCK_ROWS, BLOCK_CHARS = 4096, 1024, 2_000_000  # of a block
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 STEPS = np.arange(1, REGISTERS + 1, dtype=np.uint64) * A
 
@@ -119,7 +119,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _sketch(batches):
-    table = hash_table()
+    table = Table(xxhash.xxh3_64_intdigest, TABLE_WORDS)
     for batch in batches:
         for part in slices(batch, "text", CHUNK_BYTES):
             found = texts(part.column("text"))
@@ -194,7 +194,7 @@ def linked_pairs(pairs: DataFrame, whole: DataFrame) -> DataFrame:
 
 
 def _confirm(batches):
-    table, held = hash_table(), (None, None)
+    table, held = Table(xxhash.xxh3_64_intdigest, TABLE_WORDS), (None, None)
     for batch in batches:
         for part in slices(batch, "text", CHUNK_BYTES):
             first = part.column("a").to_numpy()
@@ -304,7 +304,7 @@ def _compare(exact: bool):
     """Edges that join components: of likely pairs, or of linked ones, until no more can be found."""
 
     def run(batches):
-        words = hash_table()
+        words = Table(xxhash.xxh3_64_intdigest, TABLE_WORDS)
         for table in _tables(batches):
             nodes, own = table.column("node").to_numpy(), table.column("own").to_numpy()
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
