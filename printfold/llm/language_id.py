@@ -2,20 +2,23 @@
 
 Each language has a model of byte trigrams within words (lower case, letters only), counted over all
 training rows. A document is a mixture: every word comes from one language, with the likelihood its
-trigrams give it. Expectation-maximisation estimates the proportions; then the smallest language is
+trigrams give it. Expectation-maximisation estimates the proportions, each document until its log
+likelihood gains less than ``SETTLED`` in a round (or ``ROUNDS`` are over); then the smallest language is
 dropped for as long as the likelihood, less half the logarithm of the number of words for each
 language, does not fall. The prediction is the largest proportion, which is also the score.
 
+A model has ``BUCKETS`` numbers for each language. Models come in groups of ``GROUP`` languages, by name;
+there may be any number of groups. The documents pass one group after the other, which adds its languages
+to those selected so far; of these only the likelihoods of the document's own words are carried on.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0, as is every text when
 there was nothing to learn from; ties go to the language that sorts first; repeated rows get equal
 results; training ignores null texts and languages; an empty table gives no rows; other columns pass
 through, but those that have the name of an added one are replaced.
-
-A model has ``BUCKETS`` numbers for each language; more than ``MAX_LANGUAGES`` of them are an error, as
-the models are collected and broadcast.
 """
 
 import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from printfold.llm.words import pieces, slices, texts
+from printfold.session import drop_dir, work_dir
 
-BUCKETS, SLICES, MAX_LANGUAGES = 1 << 16, 64, 256
-SMOOTHING, FULL_ROUNDS, NEXT_ROUNDS = 0.5, 10, 5
+BUCKETS, SLICES, GROUP = 1 << 16, 64, 256
+SMOOTHING, ROUNDS, SETTLED = 0.5, 100, 0.01
 CHUNK_BYTES, TABLE_WORDS = 1 << 20, 300_000
 UNKNOWN = "und"
 BACKGROUND, CHANCE = -float(np.log(BUCKETS)), 2.0  # log likelihood of a trigram in no language; deviations
@@ -56,20 +60,34 @@ def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 # --- training ---------------------------------------------------------------------------------
 
 
-def train(rows: DataFrame):
-    """(languages, log likelihoods) from (text, lang); the counts of all rows."""
+def train(rows: DataFrame, group=GROUP) -> list:
+    """Groups of (languages, broadcast (log likelihoods, means, variances)) from (text, lang); the counts of all rows.
+
+    The driver holds the numbers of one group at a time.
+    """
+    spark = rows.sparkSession
+    path = work_dir(spark, "languages")
     parts = rows.where("text is not null and lang is not null").select("text", "lang").mapInArrow(
         _count, "lang string, slice int, counts binary")
-    sums = parts.groupBy("lang", "slice").applyInArrow(_sum, "lang string, slice int, counts binary")
-    names = [r.lang for r in rows.where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    names, width = sorted(names), BUCKETS // SLICES
+    parts.groupBy("lang", "slice").applyInArrow(_sum, "lang string, slice int, counts binary").write.parquet(path)
+    sums = spark.read.schema("lang string, slice int, counts binary").parquet(path)
+    names = sorted(r.lang for r in rows.where("lang is not null").select("lang").distinct().collect())
+    groups = []
+    for start in range(0, len(names), group):
+        mine = names[start: start + group]
+        logs = _model(mine, sums if len(names) <= group else sums.where(F.col("lang").between(mine[0], mine[-1])))
+        groups.append((mine, spark.sparkContext.broadcast((logs, *_usual(logs)))))
+    drop_dir(spark, path)
+    return groups
+
+
+def _model(names, sums):
+    width = BUCKETS // SLICES
     counts = np.zeros((len(names), BUCKETS), np.float64)
-    for r in sums.collect():
+    for r in sums.toLocalIterator():
         counts[names.index(r.lang), r.slice * width: (r.slice + 1) * width] = np.frombuffer(r.counts, np.int64)
     total = counts.sum(1, keepdims=True)
-    return names, np.log((counts + SMOOTHING) / (total + SMOOTHING * BUCKETS)).astype(np.float32)
+    return np.log((counts + SMOOTHING) / (total + SMOOTHING * BUCKETS)).astype(np.float32)
 
 
 def _count(batches):
@@ -83,7 +101,7 @@ def _count(batches):
                 for piece in pieces(b" " + b" ".join(found) + b" "):
                     found = np.bincount(trigrams(b" " + piece + b" ")[0], minlength=BUCKETS)
                     counts[lang] = counts[lang] + found if lang in counts else found
-            if len(counts) > MAX_LANGUAGES:
+            if len(counts) > GROUP:
                 yield from _slices(counts)
                 counts = {}
     yield from _slices(counts)
@@ -107,15 +125,16 @@ def _sum(table: pa.Table) -> pa.Table:
 
 
 class Likelihoods:
-    """Likelihoods of words under each language, relative to the best; forgets all when full."""
+    """Log likelihoods of words under each language; forgets all when full."""
 
     def __init__(self, logs):
         self.logs, self.index = logs.T.copy(), {}
+        self.limit = max(1000, TABLE_WORDS * 8 // max(8, len(logs)))
         self.rows = np.zeros((0, logs.shape[0]), np.float32)
 
     def of(self, words: list) -> np.ndarray:
         new = set(words).difference(self.index)
-        if len(self.index) + len(new) > TABLE_WORDS:
+        if len(self.index) + len(new) > self.limit:
             self.index, self.rows, new = {}, self.rows[:0], set(words)
         if new:
             new = list(new)
@@ -123,39 +142,56 @@ class Likelihoods:
             starts = np.concatenate([[0], np.cumsum([len(w) for w in new])[:-1]])
             sums = np.add.reduceat(self.logs[found], starts)
             self.index.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            self.rows = np.concatenate([self.rows, np.exp(sums - sums.max(1, keepdims=True))])
+            self.rows = np.concatenate([self.rows, sums])
         return self.rows[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
 
 
-def _maximise(like, sizes, share, rounds):
-    """Proportions and log likelihoods of documents whose words follow each other in ``like``."""
-    starts = np.cumsum(sizes) - sizes
-    for _ in range(rounds):
+def _maximise(like, counts, sizes, share):
+    """Proportions and log likelihoods of documents, whose distinct words follow each other in ``like``."""
+    out, fit = share.copy(), np.zeros(len(sizes))
+    left, before = np.arange(len(sizes)), np.full(len(sizes), -np.inf)
+    for n in range(ROUNDS + 1):
+        starts = np.cumsum(sizes) - sizes
         each = np.repeat(share, sizes, axis=0)
-        total = np.einsum("ij,ij->i", like, each) + 1e-30
         each *= like
-        each /= total[:, None]
-        share = np.add.reduceat(each, starts, axis=0) / sizes[:, None].astype(np.float32)
-    total = np.einsum("ij,ij->i", like, np.repeat(share, sizes, axis=0)) + 1e-30
-    return share, np.add.reduceat(np.log(total), starts, dtype=np.float64)
-
-
-def proportions(like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Proportions of the selected languages for each document."""
+        total = each.sum(1) + 1e-30
+        now = np.add.reduceat(np.log(total) * counts, starts, dtype=np.float64)
+        moving = (now - before >= SETTLED) & ((share > 0).sum(1) > 1) & (n < ROUNDS)
+        out[left[~moving]], fit[left[~moving]] = share[~moving], now[~moving]
+        if not moving.any():
+            return out, fit
+        each *= (counts / total)[:, None]
+        share = np.add.reduceat(each, starts, axis=0)
+        share /= share.sum(1, keepdims=True)
+        before = now
+        if not moving.all():
+            rows = np.repeat(moving, sizes)
+            like, counts, sizes, share = like[rows], counts[rows], sizes[moving], share[moving]
+            left, before = left[moving], before[moving]
+
+
+def proportions(like: np.ndarray, sizes: np.ndarray, counts=None) -> np.ndarray:
+    """Proportions of the selected languages for each document.
+
+    ``like`` has a row for each distinct word of each document, ``sizes`` are their numbers and ``counts`` how
+    often each is there (once if unset).
+    """
     k = like.shape[1]
+    counts = np.ones(len(like), np.float32) if counts is None else counts.astype(np.float32)
     share = np.full((len(sizes), k), 1 / k, np.float32)
-    share, fit = _maximise(like, sizes, share, FULL_ROUNDS)
-    penalty = 0.5 * np.log(np.maximum(sizes, 2))
+    share, fit = _maximise(like, counts, sizes, share)
+    words = np.add.reduceat(counts, np.cumsum(sizes) - sizes)
+    penalty = 0.5 * np.log(np.maximum(words, 2))
     active = np.flatnonzero((share > 0).sum(1) > 1)
     while len(active):
         chosen = np.zeros(len(sizes), bool)
         chosen[active] = True
-        part, n = like[np.repeat(chosen, sizes)], sizes[active]
+        rows = np.repeat(chosen, sizes)
         fewer = share[active].copy()
-        smallest = np.where(fewer > 0, fewer, 2).argmin(1)
+        smallest = fewer.shape[1] - 1 - np.where(fewer > 0, fewer, 2)[:, ::-1].argmin(1)  # of equals, the last
         fewer[np.arange(len(active)), smallest] = 0
         fewer /= fewer.sum(1, keepdims=True)
-        fewer, less = _maximise(part, n, fewer, NEXT_ROUNDS if (fewer > 0).sum(1).max() > 1 else 0)
+        fewer, less = _maximise(like[rows], counts[rows], sizes[active], fewer)
         better = less + penalty[active] >= fit[active]
         active = active[better]
         share[active], fit[active] = fewer[better], less[better]
@@ -163,40 +199,63 @@ def proportions(like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return share
 
 
-def identify(docs: DataFrame, model) -> DataFrame:
+def identify(docs: DataFrame, model: list) -> DataFrame:
     """``docs`` with lang_pred, score and languages (``name:share`` of the selected, largest first)."""
     kept = docs.drop(*ADDED)
-    names, logs = model
-    shared = docs.sparkSession.sparkContext.broadcast((names, logs))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(_identify(shared), f"{fields}, lang_pred string, score double, languages string")
+    rows = kept
+    for n, (names, shared) in enumerate(model or [([], None)]):
+        last = n >= len(model) - 1
+        extra = "lang_pred string, score double, languages string" if last else f"{CARRIED} array<string>, {CARRIED}_logs binary"
+        rows = rows.mapInArrow(_identify(names, shared, len(kept.columns), last), f"{fields}, {extra}")
+    return rows
 
 
-def _identify(shared):
+CARRIED = "_languages_so_far"
+
+
+def _identify(names, shared, width, last):
     def run(batches):
-        names, logs = shared.value
-        table = Likelihoods(logs)
+        table = Likelihoods(shared.value[0]) if names else None
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
-                found = _results(texts(part.column("text")), names, table)
-                extra = [pa.array(x, t) for x, t in zip(zip(*found), (pa.string(), pa.float64(), pa.string()))]
-                yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=[*part.schema.names, *ADDED])
+                before = [part.column(i).to_pylist() for i in range(width, part.num_columns)] or None
+                found = _results(texts(part.column("text")), names, table, before, last)
+                types = (pa.string(), pa.float64(), pa.string()) if last else (pa.list_(pa.string()), pa.binary())
+                extra = [pa.array(x, t) for x, t in zip(zip(*found), types)]
+                added = ADDED if last else (CARRIED, f"{CARRIED}_logs")
+                yield pa.RecordBatch.from_arrays(part.columns[:width] + extra, names=[*part.schema.names[:width], *added])
 
     return run
 
 
-def _results(found, names, table):
-    out = [(UNKNOWN, 0.0, "")] * len(found)
-    words = [cleaned(t).split() if names and has_letter(t) else [] for t in found]
+def _results(found, names, table, before, last):
+    """(prediction, score, languages) of every text, or what is to be carried on: (languages, logs)."""
+    out = [(UNKNOWN, 0.0, "") if last else ([], b"")] * len(found)
+    words = [Counter(cleaned(t).split()) if names and has_letter(t) else {} for t in found]
     rows = [i for i, w in enumerate(words) if w]
-    if rows:
-        sizes = np.array([len(words[i]) for i in rows])
-        like = np.concatenate([table.of(words[i]) for i in rows])
-        share = proportions(like, sizes)
-        best = share.argmax(1)
-        for i, row, b in zip(rows, share.astype(float), best):
-            order = sorted(np.flatnonzero(row), key=lambda j: (-row[j], j))
-            out[i] = names[b], min(float(row[b]), 1.0), ",".join(f"{names[j]}:{row[j]:.3f}" for j in order)
+    if not rows:
+        return out
+    sizes = np.array([len(words[i]) for i in rows])
+    counts = np.concatenate([np.fromiter(words[i].values(), np.int64, len(words[i])) for i in rows])
+    logs = np.concatenate([table.of(list(words[i])) for i in rows])
+    listed = [names] * len(rows)
+    if before is not None:  # those selected from earlier groups come first, which their names do too
+        old = [np.frombuffer(before[1][i], np.float32).reshape(len(words[i]), -1) for i in rows]
+        most = max(o.shape[1] for o in old)
+        padded = np.concatenate([np.pad(o, ((0, 0), (0, most - o.shape[1])), constant_values=-np.inf) for o in old])
+        logs = np.concatenate([padded, logs], axis=1)
+        listed = [before[0][i] + [None] * (most - len(before[0][i])) + names for i in rows]
+    share = proportions(np.exp(logs - logs.max(1, keepdims=True)), sizes, counts)
+    ends = np.cumsum(sizes)
+    for n, (i, row) in enumerate(zip(rows, share.astype(float))):
+        order = sorted(np.flatnonzero(row), key=lambda j: (-row[j], j))
+        if last:
+            chosen = ",".join(f"{listed[n][j]}:{row[j]:.3f}" for j in order)
+            out[i] = listed[n][order[0]], min(float(row[order[0]]), 1.0), chosen
+        else:
+            order = sorted(order)
+            out[i] = [listed[n][j] for j in order], np.ascontiguousarray(logs[ends[n] - sizes[n]: ends[n], order]).tobytes()
     return out
 
 
@@ -220,9 +279,13 @@ def keep_identified(docs: DataFrame, model) -> DataFrame:
     document is dropped when its words, each in its best language, are nearer to the background by more
     than chance explains in a text of its length.
     """
-    names, logs = model
-    shared = docs.sparkSession.sparkContext.broadcast((logs, *_usual(logs)) if names else None)
-    return docs.mapInArrow(_keep(shared), docs.schema)
+    if not model:
+        return docs.where(F.lit(False))
+    rows, fields = docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    for n, (_, shared) in enumerate(model):
+        last = n == len(model) - 1
+        rows = rows.mapInArrow(_keep(shared, len(docs.columns), last), docs.schema if last else f"{fields}, {CARRIED} binary")
+    return rows
 
 
 def _usual(logs):
@@ -234,33 +297,45 @@ def _usual(logs):
     return mean, (counts * (logs - mean[:, None]) ** 2).sum(1) / total
 
 
-def _known(text, logs, mean, variance) -> bool:
-    """Whether the words of a text fit the languages better than the background."""
-    fit = bound = spread = 0.0
+def _fitted(text, logs, mean, variance, before):
+    """(letters, log likelihood, mean, variance) of every word in its best language so far."""
+    found = []
     for piece in pieces(b" " + text + b" "):
         words = piece.split()
         if not words:
             continue
-        found = trigrams(b" " + b" ".join(words) + b" ")[0]
-        n = np.array([len(w) for w in words])
-        sums = np.add.reduceat(logs[found], np.cumsum(n) - n, dtype=np.float64)
+        grams = trigrams(b" " + b" ".join(words) + b" ")[0]
+        n = np.array([len(w) for w in words], np.float64)
+        sums = np.add.reduceat(logs[grams], np.cumsum([len(w) for w in words]) - n.astype(np.int64), dtype=np.float64)
         best = sums.argmax(1)
-        fit += np.maximum(sums.max(1), n * BACKGROUND).sum()
-        bound += (n * (mean[best] + BACKGROUND) / 2).sum()
-        spread += (n * variance[best]).sum()
-    return fit >= bound - CHANCE * spread**0.5
+        found.append(np.stack([n, sums.max(1), mean[best], variance[best]]))
+    found = np.concatenate(found, axis=1) if found else np.zeros((4, 0))
+    return found if before is None else np.where(before[1] >= found[1], before, found)
+
+
+def _known(fitted) -> bool:
+    """Whether the words of a text fit the languages better than the background."""
+    n, fit, mean, variance = fitted
+    bound = (n * (mean + BACKGROUND) / 2).sum()
+    return bool(np.maximum(fit, n * BACKGROUND).sum() >= bound - CHANCE * (n * variance).sum() ** 0.5)
 
 
-def _keep(shared):
+def _keep(shared, width, last):
     def run(batches):
-        model = shared.value
-        if model:
-            logs, mean, variance = model
-            logs = logs.T.copy()
+        logs, mean, variance = shared.value
+        logs = logs.T.copy()
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
-                found = texts(part.column("text"))
-                yield part.filter(pa.array([bool(model) and has_letter(t) and bool(_known(cleaned(t), logs, mean, variance))
-                                            for t in found], pa.bool_()))
+                before = part.column(width).to_pylist() if part.num_columns > width else [None] * part.num_rows
+                found = []
+                for text, held in zip(texts(part.column("text")), before):
+                    held = None if held is None else np.frombuffer(held).reshape(4, -1)
+                    found.append(_fitted(cleaned(text), logs, mean, variance, held) if has_letter(text) else None)
+                if last:
+                    kept = pa.array([f is not None and _known(f) for f in found], pa.bool_())
+                    yield pa.RecordBatch.from_arrays(part.columns[:width], names=part.schema.names[:width]).filter(kept)
+                else:
+                    held = pa.array([None if f is None else f.tobytes() for f in found], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*part.columns[:width], held], names=[*part.schema.names[:width], CARRIED])
 
     return run

@@ -1,11 +1,13 @@
 """Held-out accuracy, mixtures, and rows that have no language."""
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
-from printfold.llm.language_id import UNKNOWN, identify, keep_identified, learn, proportions, train
+from printfold.llm.language_id import ROUNDS, SETTLED, UNKNOWN, identify, keep_identified, learn, proportions, train
 from printfold.llm.query_language import op2_language_id
 
 FOLDER = "/root/testdata/sf0.01"
@@ -80,3 +82,79 @@ def test_even_mixture_of_four_languages_is_kept(spark):
     parts = [docs.where(f"lang = '{lang}'").first().text.split()[:60] for lang in ("en", "de", "es", "fr")]
     df = spark.createDataFrame([(1, " ".join(sum(parts, [])))], "doc_id long, text string")
     assert keep_identified(df, learn(docs)).count() == 1
+
+
+def plain_proportions(like, counts):
+    """The mixture of one document, word by word."""
+    def maximise(share):
+        before = -math.inf
+        for n in range(ROUNDS + 1):
+            total = [sum(p * x for p, x in zip(share, row)) for row in like]
+            now = sum(c * math.log(t) for c, t in zip(counts, total))
+            if now - before < SETTLED or sum(p > 0 for p in share) < 2 or n == ROUNDS:
+                return share, now
+            share = [sum(c * p * row[j] / t for c, row, t in zip(counts, like, total)) / sum(counts) for j, p in enumerate(share)]
+            before = now
+
+    share, fit = maximise([1 / len(like[0])] * len(like[0]))
+    while sum(p > 0 for p in share) > 1:
+        smallest = -min((p, -j) for j, p in enumerate(share) if p > 0)[1]
+        fewer = [0 if j == smallest else p for j, p in enumerate(share)]
+        fewer, less = maximise([p / sum(fewer) for p in fewer])
+        if less + 0.5 * math.log(max(sum(counts), 2)) < fit:
+            break
+        share, fit = fewer, less
+    return share
+
+
+def test_mixtures_equal_plain_loops():
+    r = np.random.default_rng(4)
+    sizes = np.array([1, 3, 40, 200, 80, 60])
+    like = np.exp(-6 * r.random((sizes.sum(), 5))).astype(np.float32)
+    like[44:244, 2] *= 20  # mostly one language
+    like[244:284, 0] *= 30  # two halves
+    like[284:324, 3] *= 30
+    counts = r.integers(1, 5, sizes.sum())
+    got = proportions(like, sizes, counts)
+    at = 0
+    for n, size in enumerate(sizes):
+        expected = plain_proportions(like[at: at + size].astype(float).tolist(), counts[at: at + size].tolist())
+        assert [p > 0 for p in expected] == (got[n] > 0).tolist()
+        assert np.abs(got[n] - expected).max() < 1e-3
+        at += size
+    assert got[3].argmax() == 2 and sorted(np.flatnonzero(got[4]).tolist()) == [0, 3]
+
+
+def many_languages(r, n):
+    """Texts in made-up languages, each with letters of its own preference."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for lang in range(n):
+        own = r.sample(letters, 6)
+        words = ["".join(r.choices(own, k=r.randrange(3, 8))) for _ in range(40)]
+        rows += [(f"l{lang:03d}", " ".join(r.choices(words, k=60))) for _ in range(3)]
+    return rows
+
+
+@pytest.mark.parametrize("group", [256, 40])
+def test_languages_in_groups(spark, group):
+    """Three hundred languages, more than a group holds; a mixture may span groups."""
+    rows = many_languages(random.Random(3), 300)
+    df = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], "doc_id long, lang string, text string")
+    model = train(df, group)
+    assert sum(len(names) for names, _ in model) == 300 and len(model) == -(-300 // group)
+    got = {r.doc_id: r for r in identify(df, model).collect()}
+    assert sum(got[n].lang_pred == lang for n, (lang, _) in enumerate(rows)) >= 0.99 * len(rows)
+    half = spark.createDataFrame([(1, f"{rows[0][1]} {rows[-1][1]}"), (2, ""), (3, None), (4, "Ж" * 9)], "doc_id long, text string")
+    mixed = {r.doc_id: r for r in identify(half, model).collect()}
+    assert {x.split(":")[0] for x in mixed[1].languages.split(",")} == {"l000", "l299"}
+    assert mixed[2].lang_pred == mixed[3].lang_pred == UNKNOWN and mixed[2].score == 0
+    kept = {r.doc_id for r in keep_identified(df.select("doc_id", "text").union(half), model).collect()}
+    one = {r.doc_id for r in keep_identified(df.select("doc_id", "text").union(half), train(df, 1000)).collect()}
+    assert kept == one and len(kept) > 0.99 * len(rows)
+
+
+def test_ties_go_to_the_first_language(spark):
+    rows = spark.createDataFrame([("some words here", "b"), ("some words here", "a"), ("some words here", "c")], "text string, lang string")
+    got = identify(spark.createDataFrame([(1, "words here some")], "doc_id long, text string"), train(rows)).first()
+    assert got.lang_pred == "a"
