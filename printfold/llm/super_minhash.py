@@ -138,6 +138,7 @@ def _sketch(batches):
                  pa.array(map(len, sets), pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()),
                  *(pa.array([next(x).tobytes() if k else None for k in keys], pa.binary()) for x in (bands, sketch))],
                 names=["doc_id", "text_key", "chars", "n_shingles", "node", "check", "bands", "sketch"])
+    pa.default_memory_pool().release_unused()  # the worker waits for later stages
 
 
 def classes(sketched: DataFrame) -> DataFrame:
@@ -232,22 +233,12 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     words = wanted.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     known = np.zeros(bits // 64, np.int64)
     known[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(known)
-    rows = docs.select("text", F.xxhash64("text").alias("text_key")).withColumn("place", place)
-    rows = rows.mapInArrow(_can_be_wanted(shared), "text string, text_key bigint")
+    byte = F.conv(F.hex(F.substring(F.lit(known.tobytes()), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = docs.select("text", F.xxhash64("text").alias("text_key"))
+    rows = rows.where(byte.bitwiseAND(F.expr(f"shiftleft(1, cast(pmod(xxhash64(text_key), {bits}) % 8 as int))")) != 0)
     return wanted.join(rows.groupBy("text_key").agg(F.first("text").alias("text")), "text_key")
 
 
-def _can_be_wanted(shared):
-    def run(batches):
-        for batch in batches:
-            place = batch.column("place").to_numpy()
-            known = shared.value[place >> 6] >> (place & 63) & 1
-            yield batch.filter(pa.array(known == 1)).select(["text", "text_key"])
-
-    return run
-
-
 # --- 3., 4. what is left, in blocks -----------------------------------------------------------
 
 
