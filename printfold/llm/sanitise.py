@@ -1,22 +1,25 @@
 """Information-theoretic sanitisation of personal data.
 
-Patterns find the protected entities: e-mail and ip addresses, card and phone numbers. Then the corpus
-tells which other words give an entity away. For an entity e and a word t anywhere in a document that
-names it, with document frequencies n, the disclosure is the pointwise mutual information of t and e
-relative to the information content of e:
+Patterns find the protected entities: e-mail and ip addresses, card and phone numbers. An entity is
+taken at two levels, as its whole value and as the group it belongs to (domain, first three numbers of an
+address, first six digits of a card, first five of a phone number), so that one named once is judged with
+its group. Then the corpus tells which other words give an entity away. For an entity or group e and a
+word t anywhere in a text that names it, with numbers of texts n, the disclosure is the pointwise mutual
+information of t and e relative to the information content of e:
 
     pmi(t, e) / ic(e) = 1 - log(n(t) / n(t, e)) / log(N / n(e))
 
 It is 1 when t occurs with e only, and 0 when t is independent of it. Words at or above ``remove`` are
-removed in the documents that name e, words at or above ``generalise`` are replaced by their shape. A
-pair must be seen in ``support`` documents in which the ``around`` terms on either side of t differ, so
-that copies of one text prove nothing, nor do near copies away from where they differ. A word is a run
-of two or more letters and digits, with a letter. Of an entity in one document all rare words there
-measure the same, 1, so nothing is added for it.
+removed in the texts that name e, words at or above ``generalise`` are replaced by their shape; of both
+levels the higher disclosure counts. Copies of a text are one text. As a rare word meets a large group by
+chance, n(t, e) * pmi(t, e) must be ``evidence`` * log(N) at least. A pair must be seen in ``support``
+texts in which the ``around`` terms on either side of t differ, so that near copies prove nothing away
+from where they differ: from one text nothing can be estimated, as all rare words there measure
+the same. A word is a run of two or more letters and digits, with a letter.
 
 Defined results: a null text is empty; spans of one kind never overlap; base spans stay whatever the
-method finds, and a word span that touches one is not added; repeated rows are counted as documents
-and each get their spans; an empty table gives no rows; other columns are kept by ``sanitise``.
+method finds, and a word span that touches one is not added; repeated rows each get their spans; an
+empty table gives no rows; other columns are kept by ``sanitise``.
 
 Base patterns are written for Java so that no long run of characters is retried or recursed over.
 """
@@ -24,9 +27,12 @@ Base patterns are written for Java so that no long run of characters is retried
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from printfold.llm.bits import maybe_among
+from printfold.session import work_dir
+
 KINDS = ("email", "ip", "card", "phone")
 WORD = "word"
-AROUND, SUPPORT, GENERALISE, REMOVE = 5, 2, 0.7, 0.9
+AROUND, SUPPORT, EVIDENCE, GENERALISE, REMOVE = 5, 2, 1.5, 0.7, 0.9
 
 # Where a run of the first class begins, or where the last match ended.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -108,6 +114,14 @@ def entity(kind: Column, hit: Column) -> Column:
     return F.xxhash64(kind, plain)
 
 
+def group(kind: Column, hit: Column) -> Column:
+    """The name of what an entity belongs to."""
+    value = (F.when(kind == "email", F.lower(F.element_at(F.split(hit, "@"), -1)))
+             .when(kind == "ip", F.substring_index(hit, ".", 3))
+             .when(kind == "card", F.substring(_digits(hit), 1, 6)).otherwise(F.substring(_digits(hit), 1, 5)))
+    return F.xxhash64(F.concat(kind, F.lit(" group")), value)
+
+
 def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
@@ -120,51 +134,78 @@ def with_key(docs: DataFrame) -> DataFrame:
 
 
 def mentions(keyed: DataFrame) -> DataFrame:
-    """(_id, _tie, _text, _base, entities) of the rows that name any, each once."""
+    """(_id, _tie, _text, _base, entities) of the rows that name any; entities are of both levels, each once."""
     rows = keyed.select("_id", "_tie", "_text").withColumn("_base", base_spans(F.col("_text"))).where(F.size("_base") > 0)
-    return rows.withColumn("entities", F.array_distinct(F.transform("_base", lambda m: entity(m["kind"], m["hit"]))))
+    levels = F.flatten(F.transform("_base", lambda m: F.array(entity(m["kind"], m["hit"]), group(m["kind"], m["hit"]))))
+    return rows.withColumn("entities", F.array_distinct(levels))
 
 
-def disclosing(keyed: DataFrame, around=AROUND, support=SUPPORT, generalise=GENERALISE) -> DataFrame:
-    """(entity, term, disclosure) at or above ``generalise``, from counts over all documents."""
-    found = mentions(keyed)
-    named = found.select("_id", "_tie", F.explode("entities").alias("entity")).groupBy("entity").agg(
-        F.count_distinct("_id", "_tie").alias("n_entity"))
-    # An entity of fewer documents than are needed cannot qualify, so its words are not counted.
-    often = named.where(F.col("n_entity") >= support)
+def term_contexts(found: DataFrame, around=AROUND) -> DataFrame:
+    """(_tie, entities, terms) of every text that names any, once: its terms, each with its smallest context.
+
+    A text is parted once, whatever it names. Sorted terms are written, so that repeats lie beside each other.
+    """
+    spark = found.sparkSession
+    texts = found.groupBy("_tie").agg(*[F.first(c).alias(c) for c in ("_text", "_base", "entities")])
     masked = F.transform("_base", lambda m: m.withField("kind", F.lit("|")))
     context = lambda t, i: F.struct(t.alias("term"), F.xxhash64(F.slice(
         "_all", F.greatest(i - around, F.lit(0)) + 1, F.least(i, F.lit(around)) + around + 1)).alias("context"))
-    texts = (
-        found.withColumn("entity", F.explode("entities")).join(often, "entity", "left_semi")
-        .withColumn("_all", terms_of(redact(F.col("_text"), masked)))
-    )
-    pairs = texts.select("entity", "_id", "_tie", F.explode(F.transform("_all", context)).alias("t"))
-    # A document has one context of a term, the smallest, however often the term is in it.
-    near_by = (
-        pairs.groupBy("entity", "t.term", "_id", "_tie").agg(F.min("t.context").alias("context"))
-        .groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count("*").alias("n_both"))
-        .where(F.col("contexts") >= support).drop("contexts")
-    )
-    each = F.array_distinct(terms_of(F.col("_text")))
-    n_term = keyed.select(F.explode(each).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = F.lit(keyed.count())
-    ratio = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(n_docs / F.col("n_entity"))
+    rows = _written(spark, texts.select("_tie", "entities", terms_of(redact(F.col("_text"), masked)).alias("_all")))
+    rows = _written(spark, rows.select("_tie", "entities", F.sort_array(F.transform("_all", context)).alias("_all")))
+    first = F.filter("_all", lambda t, i: (i == 0) | (t["term"] != F.get("_all", i - 1)["term"]))
+    return rows.select("_tie", "entities", first.alias("terms"))
+
+
+def distinct_texts(keyed: DataFrame) -> DataFrame:
+    """(_text) of every distinct text. Only texts that may be there several times are shuffled."""
+    repeated = _written(keyed.sparkSession, keyed.groupBy("_tie").count().where("count > 1").select("_tie"))
+    several = maybe_among(repeated, "_tie")
+    once = keyed.where(several).groupBy("_tie").agg(F.first("_text").alias("_text"))
+    return keyed.where(~several).select("_text").unionByName(once.select("_text"))
+
+
+def disclosing(keyed: DataFrame, contexts: DataFrame, support=SUPPORT, evidence=EVIDENCE, generalise=GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) at or above ``generalise``, from counts over all texts."""
+    spark = keyed.sparkSession
+    named = contexts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # One named in fewer texts than are needed cannot qualify, so its words are not counted.
+    often = named.where(F.col("n_entity") >= support)
+    known = contexts.select("_tie", F.explode("entities").alias("entity")).join(often, "entity").groupBy("_tie").agg(
+        F.collect_list(F.struct("entity", "n_entity")).alias("entities"))
+    total = keyed.select("_tie").distinct().count()
+    n_term = distinct_texts(keyed).select(F.explode(F.array_distinct(terms_of(F.col("_text")))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_term"))
+    # At most n(e) texts have both, so words with more texts than this cannot reach the least disclosure.
+    most = lambda n: n * F.pow(total / n, F.lit(1.0 - generalise)) + 0.5
+    bound = _written(spark, known).select(F.explode("entities").alias("e")).agg(F.max(most(F.col("e.n_entity")))).first()[0]
+    words = contexts.join(known.withColumnRenamed("entities", "known"), "_tie").select("known", F.explode("terms").alias("t"))
+    words = words.select("known", "t.term", "t.context").join(n_term.where(F.col("n_term") <= (bound or 0)), "term")
+    pairs = words.select("term", "context", "n_term", F.explode("known").alias("e")).where(F.col("n_term") <= most(F.col("e.n_entity")))
+    both = pairs.groupBy("e.entity", "e.n_entity", "term", "n_term").agg(
+        F.count_distinct("context").alias("contexts"), F.count("*").alias("n_both")).where(F.col("contexts") >= support)
+    ic = F.log(total / F.col("n_entity"))
+    pmi = ic - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0)))
     return (
-        near_by.join(n_term, "term").join(named, "entity").where(n_docs > F.col("n_entity"))
-        .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= generalise)
+        both.where(F.lit(total) > F.col("n_entity")).where(F.col("n_both") * pmi >= evidence * F.log(F.lit(total)))
+        .select("entity", "term", (pmi / ic).alias("disclosure")).where(F.col("disclosure") >= generalise)
     )
 
 
-def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
+def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, evidence=EVIDENCE, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """Rows of ``docs`` with ``base`` and ``added`` spans (start, end, kind, hit) in place of columns so named."""
+    spark = docs.sparkSession
     keyed = with_key(docs)
-    telling = disclosing(keyed, around, support, generalise)
-    named = mentions(keyed).select("_id", "_tie", F.explode("entities").alias("entity")).distinct()
-    found = named.join(telling, "entity").groupBy("_id", "_tie").agg(
+    found = _written(spark, mentions(keyed))
+    contexts = _written(spark, term_contexts(found, around))
+    telling = _written(spark, disclosing(keyed, contexts, support, evidence, generalise))
+    own = contexts.select("_tie", "entities", F.explode("terms.term").alias("term"))
+    told = own.join(telling, "term").where(F.array_contains("entities", F.col("entity"))).groupBy("_tie").agg(
         F.collect_set("term").alias("_terms"),
         F.collect_set(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("_removed"))
-    rows = keyed.join(found, ["_id", "_tie"], "left").withColumn("base", base_spans(F.col("_text")))
+    spans = found.groupBy("_id", "_tie").agg(F.first("_base").alias("base")).join(told, "_tie", "left")
+    rows = keyed.drop("base", "_terms", "_removed").join(spans, ["_id", "_tie"], "left")
+    none = F.array().cast(spans.schema["base"].dataType)
+    rows = rows.withColumn("base", F.coalesce("base", none))
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.reverse(F.sort_array("_terms")), "|"), F.lit(r")(?![\p{L}\p{N}])"))
     hits = _matches(F.col("_text"), pattern, F.col("_terms").isNotNull())
     free = F.filter(hits, lambda h: ~F.exists("base", lambda b: (h["start"] < b["end"]) & (b["start"] < h["end"])))
@@ -175,6 +216,12 @@ def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, generalise=GENER
     return rows.withColumn("added", added).drop("_id", "_tie", "_terms", "_removed")
 
 
+def _written(spark, df: DataFrame) -> DataFrame:
+    path = work_dir(spark, "sanitise")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def shape(word: Column) -> Column:
     """A word generalised to its letter case."""
     return F.when(F.initcap(word) == word, "[Word]").when(F.upper(word) == word, "[WORD]").otherwise("[word]")

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from printfold.llm.bits import maybe_among
 from printfold.llm.components import components
 from printfold.llm.jaccard_join import Forest
 from printfold.llm.words import Table, slices, texts, values
@@ -41,7 +42,6 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 TOLERANCE = 1e-8  # that a linked pair is dropped by its signatures
 BAND_BYTES = 6
-FILTER_BITS = 1 << 16, 1 << 26  # least and most of a filter of texts
 ELEMENTS = 1 << 16  # ranked at once, a byte for each register
 CHUNK_BYTES, TABLE_WORDS = 1 << 20, 100_000
 SKETCH_ROWS, BLOCK_ROWS, BLOCK_CHARS = 4096, 1024, 2_000_000  # of a block
@@ -223,19 +223,9 @@ def is_linked(shared, size, sizes):
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (node, text_key, ...) with its texts.
 
-    A filter of bits says which documents can be wanted before their texts are shuffled. It has sixteen bits a
-    text up to 8 MB in all; beyond that it lets more texts through and loses none.
+    A filter of bits says which documents can be wanted before their texts are shuffled.
     """
-    spark = docs.sparkSession
-    bits = min(max(FILTER_BITS[0], 1 << (16 * wanted.count()).bit_length()), FILTER_BITS[1])
-    place = F.pmod(F.xxhash64("text_key"), F.lit(bits))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(text_key), {bits}) % 64 as int))")
-    words = wanted.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    known = np.zeros(bits // 64, np.int64)
-    known[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    byte = F.conv(F.hex(F.substring(F.lit(known.tobytes()), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    rows = docs.select("text", F.xxhash64("text").alias("text_key"))
-    rows = rows.where(byte.bitwiseAND(F.expr(f"shiftleft(1, cast(pmod(xxhash64(text_key), {bits}) % 8 as int))")) != 0)
+    rows = docs.select("text", F.xxhash64("text").alias("text_key")).where(maybe_among(wanted, "text_key"))
     return wanted.join(rows.groupBy("text_key").agg(F.first("text").alias("text")), "text_key")
 
 

@@ -1,6 +1,7 @@
 """Personal data against a plain version with Python's re, and the words that give entities away."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -102,7 +103,7 @@ def test_copies_give_nothing_away(spark):
 
 
 def test_generalised_words_keep_their_shape(spark):
-    rows = planted() + [(300 + i, "Zorblax wrote about nothing") for i in range(8)]
+    rows = planted() + [(300 + i, f"Zorblax wrote about nothing {i}") for i in range(8)] + [(400 + i, "Zorblax wrote one text") for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     text = {r.doc_id: r.text for r in sanitise(df).collect()}
     assert "[Word]" in text[201] and "Zorblax" in text[300]
@@ -140,3 +141,89 @@ def test_far_short_and_numbered_words_of_two_contexts(spark):
     added = {x.doc_id: {m.hit for m in x.added} for x in with_spans(df).collect()}
     assert added[200] == added[201] == {"Li", "agent47"}
     assert all(not added[i] for i in (*range(200), 202, 203, 204))
+
+
+def plain_spans(rows, around=5, support=2, evidence=1.5, generalise=0.7, remove=0.9):
+    """The added spans of every text, by counting in plain loops."""
+    word = re.compile(r"[^\W_]{2,}")
+    def entities(text):
+        out = []
+        for m, kind in ((m, k) for k, p in PATTERNS.items() for m in re.finditer(p, text) if valid(k, m[0])):
+            digits = re.sub("[^0-9]", "", m[0])
+            out.append((m.start(), m.end(), kind, digits if kind in ("card", "phone") else m[0].lower()))
+            value = {"email": m[0].lower().split("@")[-1], "ip": ".".join(m[0].split(".")[:3]), "card": digits[:6], "phone": digits[:5]}[kind]
+            out.append((m.start(), m.end(), kind + " group", value))
+        return out
+
+    def words(text):
+        return [w for w in word.findall(text.lower()) if re.search(r"[^\W\d_]", w)]
+
+    texts = sorted({t or "" for t in rows})
+    found = {t: entities(t) for t in texts}
+    n_term, n_entity, context = {}, {}, {}
+    for t in texts:
+        for w in set(words(t)):
+            n_term[w] = n_term.get(w, 0) + 1
+        names = {e[2:] for e in found[t]}
+        for e in names:
+            n_entity[e] = n_entity.get(e, 0) + 1
+        masked, at = "", 0
+        for start, end, kind, _ in sorted(e for e in found[t] if " group" not in e[2]):
+            if start >= at:
+                masked += t[at:start] + "[|]"
+            at = max(at, end)
+        masked = words(masked + t[at:]) if names else []
+        for i, w in enumerate(masked):
+            for e in names:
+                mine = context.setdefault((e, w), {})
+                mine.setdefault(t, []).append(tuple(masked[max(i - around, 0): i + around + 1]))
+    n = len(texts)
+    telling = {}
+    for (e, w), by_text in context.items():
+        both, ic = len(by_text), math.log(n / n_entity[e])
+        if both < support or ic <= 0:
+            continue
+        pmi = ic - math.log(max(n_term.get(w, both) / both, 1))
+        if both * pmi >= evidence * math.log(n) - 1e-9 and pmi / ic >= generalise - 1e-12:
+            # The smallest context is by hash; texts of equal words about agree in any.
+            if len({c for cs in by_text.values() for c in cs}) >= support:
+                telling[e, w] = pmi / ic
+    out = {}
+    for t in texts:
+        mine = {}
+        for e in {x[2:] for x in found[t]}:
+            for w in set(words(t)):
+                if (e, w) in telling:
+                    mine[w] = max(mine.get(w, 0), telling[e, w])
+        out[t] = {(m.start(), m.end(), "word" if mine[m[0].lower()] >= remove else "word-shape") for m in word.finditer(t)
+                  if m[0].lower() in mine and not any(m.start() < e and s < m.end() for s, e, *_ in found[t])}
+    return out
+
+
+def test_added_spans_equal_plain_counts(spark):
+    """Addresses named once under a domain named often; names of people at the domain; copies."""
+    r = random.Random(12)
+    common = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(6)]
+    text = lambda n: " ".join(r.choices(common, k=n))
+    rows = [text(r.randrange(10, 60)) for _ in range(300)]
+    for n in range(12):
+        rows.append(f"{text(12)} Quorvex {text(5)} staff{n}@quorvex.example {text(8)} Harbour {text(4)}")
+        rows.append(f"{text(9)} Zenda {text(6)} 10.77.3.{n} {text(7)} router{n}")
+        rows.append(f"{text(9)} Ostrava {text(3)} +42 0123 456{n:03d} {text(7)}")
+    rows += [f"{text(30)} Harbour {text(9)}" for _ in range(5)] + [rows[300]] * 40 + [None, "", f"{text(6)} lonely@nowhere.example Unique"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    expected = plain_spans(rows)
+    got = {x.doc_id: {(m.start, m.end, m.kind) for m in x.added} for x in with_spans(df).collect()}
+    for n, t in enumerate(rows):
+        assert got[n] == expected[t or ""], t
+    planted = {"Quorvex": 0, "Zenda": 0, "Ostrava": 0}
+    for x in with_spans(df).where("size(added) > 0").collect():
+        for m in x.added:
+            planted[m.hit] = planted.get(m.hit, 0) + 1
+    assert planted["Quorvex"] == 12 + 40 and planted["Zenda"] == 12 and planted["Ostrava"] == 12 and "Unique" not in planted
+
+
+def test_spans_are_added_on_the_driver_tables(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = with_spans(df).where("size(base) > 0").select(F.size("added").alias("n")).collect()
+    assert rows
