@@ -12,7 +12,8 @@ information of t and e relative to the information content of e:
 It is 1 when t occurs with e only, and 0 when t is independent of it. Words at or above ``remove`` are
 removed in the texts that name e, words at or above ``generalise`` are replaced by their shape; of both
 levels the higher disclosure counts. Copies of a text are one text. As a rare word meets a large group by
-chance, n(t, e) * pmi(t, e) must be ``evidence`` * log(N) at least. A pair must be seen in ``support``
+chance, n(t, e) * pmi(t, e) must be ``evidence`` * log(N) at least: with 1, what it takes to name one text
+among all. A pair must be seen in ``support``
 texts in which the ``around`` terms on either side of t differ, so that near copies prove nothing away
 from where they differ: from one text nothing can be estimated, as all rare words there measure
 the same. A word is a run of two or more letters and digits, with a letter.
@@ -32,7 +33,7 @@ from printfold.session import work_dir
 
 KINDS = ("email", "ip", "card", "phone")
 WORD = "word"
-AROUND, SUPPORT, EVIDENCE, GENERALISE, REMOVE = 5, 2, 1.5, 0.7, 0.9
+AROUND, SUPPORT, EVIDENCE, GENERALISE, REMOVE = 5, 2, 1.0, 0.7, 0.9
 
 # Where a run of the first class begins, or where the last match ended.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
