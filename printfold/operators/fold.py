@@ -1,5 +1,7 @@
 """Folding all printings of a key into one row, and ordering rows within a key."""
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,16 +57,57 @@ def fold_cards(prints: DataFrame) -> DataFrame:
     return fold(prints, [CARD_KEY], release_order(prints), attrs, FOLDED)
 
 
+LOWS = tuple(f"_{c}" for c in FOLDED)
+
+
 def fold_narrow(prints: DataFrame) -> DataFrame:
     """Narrow printings to cards: the winner's feed row is carried through the fold and flattened after."""
     folded = fold(prints, [CARD_KEY], release_order(prints), ["element"], FOLDED)
-    lows = [F.col(c).alias(f"_{c}") for c in FOLDED]
-    cards = flatten_prints(folded.select("element.*", *lows), [f"_{c}" for c in FOLDED])
-    return cards.withColumns({c: F.col(f"_{c}") for c in FOLDED}).drop(*[f"_{c}" for c in FOLDED])
+    return _flat(folded.withColumnsRenamed(dict(zip(FOLDED, LOWS))))
+
+
+def _flat(won: DataFrame) -> DataFrame:
+    """Winners' feed rows to cards, with the lowest prices of all printings."""
+    cards = flatten_prints(won.select("element.*", *LOWS), LOWS)
+    return cards.withColumns({c: F.col(low) for c, low in zip(FOLDED, LOWS)}).drop(*LOWS)
+
+
+# Bits of a pointer below the day: a split of the feed, a row of the split, an item of the row.
+SPLIT_BITS, ROW_BITS, ITEM_BITS = 30, 33, 31
+EARLIEST = -(1 << 31)  # before any date Spark has
+
+
+def with_pointer(prints: DataFrame) -> DataFrame:
+    """Adds ``pointer``, a number of fixed width that orders printings as ``release_order`` and tells them apart.
+
+    The splits the feed was read in are numbered in feed order, as a list of their own: a row for each.
+    """
+    places = {"_file": F.col("pos.file"), "_block": F.col("pos.block")}
+    split = F.row_number().over(Window.orderBy("_file", "_block"))
+    splits = prints.select(*[c.alias(n) for n, c in places.items()]).distinct().withColumn("_split", split)
+    day = F.coalesce(F.unix_date(F.col("date").try_cast("date")), F.lit(EARLIEST)).cast("long") - EARLIEST
+    high = F.shiftleft(day, SPLIT_BITS) + F.col("_split")
+    # The lower bits of a row's number count within the task that read it.
+    row = F.col("pos.row").bitwiseAND((1 << ROW_BITS) - 1).cast("decimal(10,0)")
+    low = row * F.lit(Decimal(1 << ITEM_BITS)) + F.col("pos.item").cast("decimal(10,0)")
+    pointer = high.cast("decimal(19,0)") * F.lit(Decimal(1 << (ROW_BITS + ITEM_BITS))) + low
+    numbered = prints.withColumns(places).join(splits, list(places))
+    return numbered.withColumn("pointer", pointer.cast("decimal(38,0)")).drop(*places, "_split")
+
+
+def fold_written(prints: DataFrame) -> DataFrame:
+    """Narrow printings of a table, with their ``pos``, to cards; the same as ``fold_narrow``, by pointer.
+
+    Only numbers are folded, so no task sorts or buffers feed rows; the fold does not even read them. The
+    winners' rows are fetched by pointer, of which every row has its own, so a hot card is no hot key there.
+    """
+    pointed = with_pointer(prints)
+    won = pointed.groupBy(CARD_KEY).agg(F.max("pointer").alias("pointer"), *[F.min(c).alias(low) for c, low in zip(FOLDED, LOWS)])
+    return _flat(pointed.select("pointer", "element").join(won.drop(CARD_KEY), "pointer"))
 
 
 def fold_feed(raw: DataFrame) -> DataFrame:
-    """Valid feed rows to cards."""
+    """Valid feed rows to cards, in one pass; ``fold_written`` folds rows that lie in a table."""
     return fold_narrow(checked(narrow_prints(raw).where(has_front())))
 
 

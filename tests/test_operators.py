@@ -1,5 +1,6 @@
 """DataFrame operators against plain-Python models and hand-made tables."""
 
+import json
 import random
 from collections import Counter
 
@@ -8,10 +9,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from printfold.operators.children import explode_child
-from printfold.operators.fold import checked, fold_cards, group_ordered
+from printfold.functions.predicates import has_front
+from printfold.operators.flatten import narrow_prints
+from printfold.operators.fold import checked, fold_cards, fold_narrow, fold_written, group_ordered
 from printfold.operators.load import append_prints, read_dimension, replace_children, resolve_key, upsert
 from printfold.operators.media import known_keys, mark_status, orphans, semi_back
 from printfold.operators.skew import hot_keys, salted_join
+from printfold.sources.feed import read_json_array
 
 
 def rows(df):
@@ -66,6 +70,49 @@ def test_fold_sends_one_row_per_key_and_task(spark):
     assert "partial_max_by" in plan and "partial_min" in plan
 
 
+def written_prints(spark, tmp_path, seed):
+    """Narrow printings of a feed in several files and splits, some with several elements on a line."""
+    rng = random.Random(seed)
+    dates = ["2020-01-01", "2020-01-02", "soon", "-0001-05-05", "99999-01-01", None]
+    (tmp_path / "feed").mkdir()
+    number = iter(range(10**6))
+    for file in "cab":
+        lines = ["["]
+        for _ in range(300):
+            elements = [{
+                "id": f"s{rng.randrange(10**6)}-{next(number)}", "oracle_id": "hot" if rng.random() < 0.33 else f"k{rng.randrange(60)}",
+                "name": "n", "layout": "normal", "lang": "en", "released_at": rng.choice(dates),
+                "image_uris": {"png": "p"}, "prices": {"usd": rng.choice([None, "1.5", "0.2"]), "tix": rng.choice([None, "3"])},
+            } for _ in range(rng.choice([0, 1, 1, 3]))]
+            lines.append("".join(json.dumps(e) + "," for e in elements))
+        (tmp_path / "feed" / f"{file}.json").write_text("\n".join([*lines, "]"]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        raw = read_json_array(spark, str(tmp_path / "feed"))
+        narrow_prints(raw).where(has_front()).write.parquet(str(tmp_path / "prints"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    return checked(spark.read.parquet(str(tmp_path / "prints")))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_fold_by_pointer_equals_fold_by_row(spark, tmp_path, seed):
+    prints = written_prints(spark, tmp_path, seed)
+    assert prints.select("pos.file", "pos.block").distinct().count() > 10
+    found, wanted = fold_written(prints), fold_narrow(prints)
+    assert found.columns == wanted.columns
+    assert rows(found) == rows(wanted) and found.count() == 61
+    assert rows(fold_written(prints.limit(0))) == []
+
+
+def test_fold_by_pointer_folds_numbers(spark, tmp_path):
+    plan = fold_written(written_prints(spark, tmp_path, 9))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "max_by" not in plan
+    assert "HashAggregate(keys=[oracle_id" in plan and "partial_max(pointer" in plan
+    scans = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line]
+    assert sum("element" in s for s in scans) == 1
+
+
 def test_printing_without_key_fails(spark):
     df = spark.createDataFrame(
         [(None, "s", "2020-01-01", 1.0, 1.0, 1)],
