@@ -8,10 +8,12 @@ from printfold.functions.predicates import has_front, is_valid
 from printfold.operators.flatten import flatten_prints, narrow_prints
 from printfold.operators.fold import checked, fold_cards
 from printfold.schema import CARDS, CHILDREN, child_schema
+from printfold.session import folder_names
+from printfold.sources.buckets import BucketSnapshot
 from printfold.sources.feed import read_json_array, stream_json_array
 from printfold.sources.prints import existing_prints
 from printfold.sources.store import current_version, read_table, write_snapshot
-from printfold.streaming.fold import compact, fold_stream, read_folded, write_changes
+from printfold.streaming.fold import compact, fold_stream, read_folded, write_changes, write_differing
 from printfold.streaming.load import append_print_batches, load_changes
 
 BASE = "https://pictures.example/cards"
@@ -80,3 +82,39 @@ def test_stream_loads_tables(spark, parts, folder):
     # Nor does a merge without changes write anything, also after a version that no batch made.
     write_snapshot(spark, {t: read_table(spark, target, t) for t in ("cards", *CHILDREN)}, target)
     assert load_changes(spark, folder("changes"), target, BASE) == 2 and current_version(spark, target) == 2
+
+
+def test_equal_rows_are_not_written_again(spark, folder):
+    path, schema = folder("out"), "k string, n int, v string"
+    write = write_differing(path, ["k", "n"], buckets=4)
+    batch = lambda *rows: spark.createDataFrame(list(rows), schema)
+    held = lambda b: sorted((tuple(r) for r in spark.read.parquet(f"{path}/batch={b}").collect()), key=str)
+    first = [("a", 1, "x"), ("a", 2, None), (None, 1, "y"), ("b", 1, "z")]
+    write(batch(*first), 0)
+    write(batch(*first), 1)
+    assert len(held(0)) == 4 and held(1) == []
+    write(batch(("a", 2, "w"), ("a", 1, "x"), ("c", 1, None)), 2)
+    assert held(2) == [("a", 2, "w"), ("c", 1, None)]
+    write(batch(("a", 2, None), ("b", 1, "z")), 3)  # as it was before, but not as last written
+    assert held(3) == [("a", 2, None)]
+    write(batch(), 4)
+    assert held(4) == []
+
+
+def test_a_batch_cut_short_is_written_whole(spark, folder, monkeypatch):
+    path = folder("out")
+    write = write_differing(path, ["k"], buckets=4)
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+
+    def lost(self):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(BucketSnapshot, "commit", lost)
+        with pytest.raises(RuntimeError):
+            write(rows, 0)
+    write(rows, 0)
+    assert spark.read.parquet(f"{path}/batch=0").count() == 2
+    write(rows, 0)  # recorded: left as it is
+    assert spark.read.parquet(f"{path}/batch=0").count() == 2
+    assert len(folder_names(spark, f"{path}-digests")) > 0
