@@ -36,7 +36,7 @@ def min_per_key(df: DataFrame, keys, columns) -> DataFrame:
 def release_order(prints: DataFrame) -> list:
     """Latest date wins, then the later place in the feed; no date is earliest of all.
 
-    A stream has no places, so there the printing's id breaks the tie.
+    Rows that came from no feed have no place; there the printing's id breaks the tie.
     """
     place = "pos" if "pos" in prints.columns else "sid"
     return [F.col("date").try_cast("date"), F.col(place)]
