@@ -19,7 +19,8 @@ from printfold.operators.media import (
     wanted,
 )
 from printfold.operators.skew import salted_join
-from printfold.plans import audit
+from printfold.plans import audit, audit_changes, read_report
+from printfold.plans.audit import audited_keys
 from printfold.queries.registry import query
 from printfold.session import work_dir
 from printfold.sources.images import inventory_of
@@ -262,3 +263,66 @@ def q_audit_fetch(t):
 def q_audit_report(t):
     """The audit's report of what is missing."""
     return _audited(t, "integrity_report")
+
+
+def _line_manifest(lines):
+    """Lines as pictures of their part."""
+    sid = F.concat_ws("-", "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return lines.select(
+        F.col("l_partkey").cast("string").alias("oracle_id"),
+        sid.alias("sid"),
+        F.when(F.col("l_returnflag") == "N", "back").otherwise("front").alias("side"),
+        F.concat(F.lit("u"), sid).alias("url"),
+        sid.alias("pos"),
+    )
+
+
+@query(
+    """WITH lines AS (
+         SELECT cast(l_partkey AS VARCHAR) AS oracle_id, l_orderkey || '-' || l_linenumber || '-' || strftime(l_shipdate, '%Y-%m-%d') AS sid,
+                CASE l_returnflag WHEN 'N' THEN 'back' ELSE 'front' END AS side,
+                l_quantity = 50 AND l_returnflag = 'R' AS gone, l_quantity = 10 AS pictured
+         FROM lineitem),
+       cards AS (
+         SELECT cast(p_partkey AS VARCHAR) AS oracle_id, p_name || CASE p_type WHEN 'PROMO' THEN ' new' ELSE '' END AS name, p_type
+         FROM part WHERE p_size <= 40),
+       rounds AS (
+         SELECT oracle_id, CAST(CASE WHEN bool_or(gone) OR any_value(p_type) = 'PROMO' THEN 3 WHEN bool_or(pictured) THEN 2 ELSE 1 END AS BIGINT) AS round
+         FROM lines FULL JOIN cards USING (oracle_id) GROUP BY oracle_id),
+       absent AS (
+         SELECT l.*, c.name FROM lines l JOIN cards c USING (oracle_id)
+         WHERE NOT gone AND (side = 'front' OR p_type = 'PROMO')
+           AND (oracle_id, sid, side) NOT IN (SELECT (oracle_id, sid, side) FROM lines WHERE pictured)),
+       art AS (SELECT * FROM cards WHERE p_type = 'LARGE'),
+       reports AS (
+         SELECT 'missing' AS report, oracle_id, side, sid, name AS detail FROM absent
+         UNION ALL SELECT 'missing', oracle_id, 'art', NULL, name FROM art
+         UNION ALL SELECT DISTINCT 'missing', oracle_id, 'card', NULL, NULL FROM lines
+                   WHERE NOT gone AND oracle_id NOT IN (SELECT oracle_id FROM cards)
+         UNION ALL SELECT DISTINCT 'fetch', oracle_id, side, sid, 'u' || sid FROM absent
+         UNION ALL SELECT 'fetch', oracle_id, 'art', NULL, 'a' FROM art)
+       SELECT reports.*, round FROM reports JOIN rounds USING (oracle_id)"""
+)
+def q_audit_rounds(t):
+    """Both reports after rounds of changes, with the round each card was last audited in.
+
+    At first no picture is there, then some are, then lines are gone and cards renamed; in the last round nothing
+    has changed.
+    """
+    store, reports = work_dir(t.spark, "store"), work_dir(t.spark, "reports")
+    kind = F.col("p_type")
+    stored = t.part.where("p_size <= 40").select(
+        F.col("p_partkey").cast("string").alias("oracle_id"), F.col("p_name").alias("name"),
+        F.when(kind == "PROMO", "b").alias("back"), F.when(kind == "LARGE", "a").alias("art"))
+    renamed = stored.withColumn("name", F.concat("name", F.when(F.col("back").isNotNull(), " new").otherwise("")))
+    lines = t.lineitem
+    left = lines.where(~(F.col("l_quantity") == 50) | (F.col("l_returnflag") != "R"))
+    pictures = _line_manifest(lines.where("l_quantity = 10")).select("oracle_id", "sid", "side")
+    for manifest, cards, present in (
+            (lines, stored, None), (lines, stored, pictures), (left, renamed, pictures), (left, renamed, pictures)):
+        write_snapshot(t.spark, {"cards": cards, "manifest": _line_manifest(manifest)}, store)
+        audit_changes(t.spark, store, reports, present)
+    missing, fetch = (read_report(t.spark, reports, name) for name in ("integrity_report", "fetch_list"))
+    rows = missing.select(F.lit("missing").alias("report"), "oracle_id", "side", "sid", F.col("name").alias("detail")).unionByName(
+        fetch.select(F.lit("fetch").alias("report"), "oracle_id", "side", "sid", F.col("url").alias("detail")))
+    return rows.join(audited_keys(t.spark, reports).select("oracle_id", "round"), "oracle_id")
