@@ -12,8 +12,9 @@ nothing; repeated rows are rows of their own, in the order of text and then arbi
 gives no rows; other columns are ignored.
 
 Scale: documents are summed to leaves by a partial aggregate, budgets are windows over leaves, and the
-seeded order of a leaf is cut into buckets by a hash, so that a hot leaf spreads: bucket sums find the
-one bucket where a budget ends.
+seeded order of a leaf is cut into buckets by a hash of doc_id and text, so that a hot leaf and a hot doc_id
+spread: bucket sums find the one bucket where a budget ends. Equal rows, which share a bucket, are one row with
+their number for each split they were read in, and are dealt out again only after that.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,38 +92,46 @@ def _weigh(nodes: DataFrame, weights: DataFrame, depth: int) -> DataFrame:
     return nodes.join(level, list(keys), "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
 
 
-def place(seed: int, epoch: Column, doc_id: Column) -> Column:
-    """Sort key of a document within an epoch."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def place(seed: int, epoch: Column, doc_id: Column, mark: Column) -> Column:
+    """Sort key of a document within an epoch; ``mark`` is the digest of its text."""
+    doc_id = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), doc_id, mark))
 
 
 def take(docs: DataFrame, leaves: DataFrame, seed=0, rows_per_bucket=2000) -> DataFrame:
     """Documents taken: (doc_id, domain, lang, source, n_tokens, tie, epochs, extra_tokens).
 
-    ``docs`` has doc_id, the levels, n_tokens and ``tie``; ``leaves`` comes from ``budgets``. A
-    document is taken ``epochs`` times whole, and ``extra_tokens`` of its first tokens once more.
+    ``docs`` has what ``narrow_rows`` makes; ``leaves`` comes from ``budgets``. A document is taken
+    ``epochs`` times whole, and ``extra_tokens`` of its first tokens once more.
     """
     bound = leaves.where("tokens > 0").select(
         *LEVELS, F.floor(F.col("quota") / F.col("tokens")).cast("long").alias("epochs"),
         (F.col("quota") % F.col("tokens")).alias("rest"),
         F.ceil(F.col("rows") / F.lit(rows_per_bucket)).cast("long").alias("cuts"))
     first_bits = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
+    equal = ["doc_id", *LEVELS, "n_tokens", "tie", "mark", "split"]
     rows = (
-        docs.where("n_tokens > 0").join(bound, list(LEVELS))
-        .withColumn("place", place(seed, F.col("epochs") + 1, F.col("doc_id")))
+        docs.where("n_tokens > 0").groupBy(*equal).agg(F.count("*").cast("int").alias("copies"))
+        .withColumn("all_tokens", F.col("n_tokens") * F.col("copies"))
+        .join(bound, list(LEVELS))
+        .withColumn("place", place(seed, F.col("epochs") + 1, F.col("doc_id"), F.col("mark")))
         # Equal ranges of the place's first 32 bits, so buckets follow each other in its order.
         .withColumn("bucket", F.shiftright(first_bits * F.col("cuts"), 32)).drop("cuts")
         # The leaf alone must not stay the key: a hot one would meet in one task.
         .repartition(*LEVELS, "bucket")
     )
-    sums = rows.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("held"))
+    sums = rows.groupBy(*LEVELS, "bucket").agg(F.sum("all_tokens").alias("held"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*LEVELS, "bucket", F.coalesce(F.sum("held").over(running), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*LEVELS, "bucket").orderBy("place", "doc_id", "tie")
-    before = F.coalesce(F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    extra = F.least(F.col("n_tokens"), F.greatest(F.lit(0), F.col("rest") - F.col("start") - F.col("before")))
+    inside = Window.partitionBy(*LEVELS, "bucket").orderBy("place", "doc_id", "tie", "split")
+    before = F.coalesce(F.sum("all_tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    upto = F.col("start") + F.col("before") + F.col("copy") * F.col("n_tokens")
+    extra = F.least(F.col("n_tokens"), F.greatest(F.lit(0), F.col("rest") - upto))
     return (
         rows.withColumn("before", before).join(starts, [*LEVELS, "bucket"])
+        .where((F.col("epochs") > 0) | (F.col("rest") > F.col("start") + F.col("before")))
+        .repartition("doc_id", "tie", "split")  # equal rows of many splits must not be dealt out by one task
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         .withColumn("extra_tokens", extra.cast("long"))
         .where("epochs > 0 or extra_tokens > 0")
         .select("doc_id", *LEVELS, "n_tokens", "tie", "epochs", "extra_tokens")
@@ -130,11 +139,14 @@ def take(docs: DataFrame, leaves: DataFrame, seed=0, rows_per_bucket=2000) -> Da
 
 
 def narrow_rows(docs: DataFrame, domain: Column) -> DataFrame:
-    """What the budgets need of (doc_id, text, lang, source); ``tie`` tells rows of one doc_id apart."""
+    """What the budgets need of (doc_id, text, lang, source).
+
+    ``tie`` and ``mark`` tell rows of one doc_id apart, ``split`` is the part of the input a row was read in.
+    """
     return docs.select(
         "doc_id", F.coalesce(domain, F.lit(NONE)).alias("domain"), F.coalesce("lang", F.lit(NONE)).alias("lang"),
         F.coalesce("source", F.lit(NONE)).alias("source"), n_tokens(F.col("text")).alias("n_tokens"),
-        F.xxhash64("text").alias("tie"))
+        F.xxhash64("text").alias("tie"), F.md5("text").alias("mark"), F.spark_partition_id().alias("split"))
 
 
 def mix(docs: DataFrame, domain: Column, share: float, weights: DataFrame = None, max_epochs=4.0, seed=0) -> DataFrame:

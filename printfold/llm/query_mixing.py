@@ -59,7 +59,7 @@ def _case(column, values):
 
 SQL_MIXING = rf"""
 WITH docs AS (
-  SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+  SELECT doc_id, md5(text) AS mark, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
     coalesce([{", ".join(f"'{d}'" for d in DOMAINS)}][try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INTEGER) % {len(DOMAINS)} + 1], '(none)') AS domain,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens
   FROM documents
@@ -77,7 +77,7 @@ WITH docs AS (
 ), placed AS (
   SELECT *, quota // tokens AS epochs, quota % tokens AS rest,
     coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
-      ORDER BY md5('{SEED}:' || (quota // tokens + 1) || ':' || doc_id), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      ORDER BY md5('{SEED}:' || (quota // tokens + 1) || ':' || doc_id || ':' || mark), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM docs JOIN quotas USING (domain, lang, source) WHERE n_tokens > 0
 ), taken AS (
   SELECT *, least(n_tokens, greatest(0, rest - before))::BIGINT AS extra_tokens FROM placed

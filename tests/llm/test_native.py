@@ -220,6 +220,23 @@ def test_buckets_do_not_change_the_mix_and_seeds_do(spark):
     assert mix(df.limit(0), F.lit("A"), 0.5).count() == 0
 
 
+def test_rows_of_one_doc_id_spread_and_equal_rows_stay_rows(spark):
+    from printfold.llm.mixing import place, take
+
+    rows = [(None, f"one two w{i}", "en", "s1") for i in range(200)] + [(None, "a b c d e", "en", "s1")] * 150 + [(7, "x", "en", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    narrow = narrow_rows(df, F.lit("A"))
+    assert narrow.select(place(1, F.lit(1), F.col("doc_id"), F.col("mark")).alias("p")).distinct().count() == 202
+    for share in (0.3, 0.9, 1.7):
+        leaves = budgets(leaf_sums(narrow), share)
+        quota = leaves.first().quota
+        few, many = (take(narrow, leaves, 1, rows_per_bucket=n).collect() for n in (10, 10000))
+        assert sorted(map(str, few)) == sorted(map(str, many))
+        assert sum(r.epochs * r.n_tokens + r.extra_tokens for r in few) == quota
+        assert sum(0 < r.extra_tokens < r.n_tokens for r in few) <= 1
+        assert sum(r.n_tokens == 5 for r in few) <= 150 and (share < 1 or len(few) == 351)
+
+
 def test_digest_of_the_extra_conversation(spark):
     from printfold.llm.query_chat import op10_chat_formatting
 
