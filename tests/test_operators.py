@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from printfold.operators.children import explode_child
 from printfold.functions.predicates import has_front
 from printfold.operators.flatten import narrow_prints
+from printfold.operators import fold as operators_fold
 from printfold.operators.fold import checked, fold_cards, fold_narrow, fold_written, group_ordered
 from printfold.operators.load import append_prints, read_dimension, replace_children, resolve_key, upsert
 from printfold.operators.media import known_keys, mark_status, orphans, semi_back
@@ -113,6 +114,25 @@ def test_fold_by_pointer_folds_numbers(spark, tmp_path):
     assert sum("element" in s for s in scans) == 1
 
 
+def test_pointer_fold_moves_no_feed_row_for_its_number(spark, tmp_path):
+    prints = written_prints(spark, tmp_path, 9)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        plan = fold_written(prints)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+
+
+@pytest.mark.parametrize("slots", [1, 2])
+def test_cards_that_share_a_slot(spark, tmp_path, monkeypatch, slots):
+    monkeypatch.setattr(operators_fold, "SLOTS", slots)
+    prints = written_prints(spark, tmp_path, 9)
+    found, wanted = fold_written(prints), fold_narrow(prints)
+    assert rows(found.select(*wanted.columns)) == rows(wanted)
+
+
 def test_printing_without_key_fails(spark):
     df = spark.createDataFrame(
         [(None, "s", "2020-01-01", 1.0, 1.0, 1)],
