@@ -214,13 +214,18 @@ def identify(docs: DataFrame, model: list) -> DataFrame:
 CARRIED = "_languages_so_far"
 
 
-def _identify(names, shared, width, last):
+def _identify(names, shared, width, last, usual=None):
+    """What adds to batches the columns of ``identify`` or, given ``usual``, keeps the rows whose mixture fits."""
     def run(batches):
         table = Likelihoods(shared.value[0]) if names else None
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
                 before = [part.column(i).to_pylist() for i in range(width, part.num_columns)] or None
-                found = _results(texts(part.column("text")), names, table, before, last)
+                found = _results(texts(part.column("text")), names, table, before, last, usual)
+                if last and usual is not None:
+                    kept = pa.RecordBatch.from_arrays(part.columns[:width], names=part.schema.names[:width])
+                    yield kept.filter(pa.array(found, pa.bool_()))
+                    continue
                 types = (pa.string(), pa.float64(), pa.string()) if last else (pa.list_(pa.string()), pa.binary())
                 extra = [pa.array(x, t) for x, t in zip(zip(*found), types)]
                 added = ADDED if last else (CARRIED, f"{CARRIED}_logs")
@@ -229,9 +234,12 @@ def _identify(names, shared, width, last):
     return run
 
 
-def _results(found, names, table, before, last):
-    """(prediction, score, languages) of every text, or what is to be carried on: (languages, logs)."""
-    out = [(UNKNOWN, 0.0, "") if last else ([], b"")] * len(found)
+def _results(found, names, table, before, last, usual=None):
+    """(prediction, score, languages) of every text, or what is to be carried on: (languages, logs).
+
+    Given ``usual``, the mean and variance of each language, the last result is whether a text's mixture fits.
+    """
+    out = [([], b"") if not last else (UNKNOWN, 0.0, "") if usual is None else False] * len(found)
     words = [Counter(cleaned(t).split()) if names and has_letter(t) else {} for t in found]
     rows = [i for i, w in enumerate(words) if w]
     if not rows:
@@ -250,7 +258,10 @@ def _results(found, names, table, before, last):
     ends = np.cumsum(sizes)
     for n, (i, row) in enumerate(zip(rows, share.astype(float))):
         order = sorted(np.flatnonzero(row), key=lambda j: (-row[j], j))
-        if last:
+        if last and usual is not None:
+            mine = logs[ends[n] - sizes[n]: ends[n], order]
+            out[i] = _known(_fitted(mine, [listed[n][j] for j in order], words[i], usual))
+        elif last:
             chosen = ",".join(f"{listed[n][j]}:{row[j]:.3f}" for j in order)
             out[i] = listed[n][order[0]], min(float(row[order[0]]), 1.0), chosen
         else:
@@ -275,16 +286,18 @@ def learn(docs: DataFrame):
 def keep_identified(docs: DataFrame, model) -> DataFrame:
     """The rows of ``docs`` in languages the model knows, in whatever mixture.
 
-    Words of a language fit it as its training texts do; others fit none better than ``BACKGROUND``. A
-    document is dropped when its words, each in its best language, are nearer to the background by more
-    than chance explains in a text of its length.
+    Every document's mixture is estimated as in ``identify``. Words of a selected language fit it as its training
+    texts do; others fit none better than ``BACKGROUND``. A document is dropped when its words, each in its best
+    selected language, are nearer to the background by more than chance explains in a text of its length.
     """
     if not model:
         return docs.where(F.lit(False))
+    usual = {name: x for names, shared in model for name, x in zip(names, zip(*(v.tolist() for v in shared.value[1:])))}
     rows, fields = docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    for n, (_, shared) in enumerate(model):
+    for n, (names, shared) in enumerate(model):
         last = n == len(model) - 1
-        rows = rows.mapInArrow(_keep(shared, len(docs.columns), last), docs.schema if last else f"{fields}, {CARRIED} binary")
+        schema = docs.schema if last else f"{fields}, {CARRIED} array<string>, {CARRIED}_logs binary"
+        rows = rows.mapInArrow(_identify(names, shared, len(docs.columns), last, usual), schema)
     return rows
 
 
@@ -297,20 +310,16 @@ def _usual(logs):
     return mean, (counts * (logs - mean[:, None]) ** 2).sum(1) / total
 
 
-def _fitted(text, logs, mean, variance, before):
-    """(letters, log likelihood, mean, variance) of every word in its best language so far."""
-    found = []
-    for piece in pieces(b" " + text + b" "):
-        words = piece.split()
-        if not words:
-            continue
-        grams = trigrams(b" " + b" ".join(words) + b" ")[0]
-        n = np.array([len(w) for w in words], np.float64)
-        sums = np.add.reduceat(logs[grams], np.cumsum([len(w) for w in words]) - n.astype(np.int64), dtype=np.float64)
-        best = sums.argmax(1)
-        found.append(np.stack([n, sums.max(1), mean[best], variance[best]]))
-    found = np.concatenate(found, axis=1) if found else np.zeros((4, 0))
-    return found if before is None else np.where(before[1] >= found[1], before, found)
+def _fitted(logs, chosen, words: Counter, usual):
+    """(letters, log likelihood, mean, variance) of a text's different words in their best selected language.
+
+    The first two are of all times a word is there. ``logs`` has a column for each of the ``chosen`` languages.
+    """
+    best = logs.argmax(1)
+    times = np.fromiter(words.values(), np.float64, len(words))
+    letters = np.fromiter(map(len, words), np.float64, len(words))
+    mean, variance = np.array([usual[name] for name in chosen]).T
+    return letters * times, logs.max(1).astype(np.float64) * times, mean[best], variance[best]
 
 
 def _known(fitted) -> bool:
@@ -318,24 +327,3 @@ def _known(fitted) -> bool:
     n, fit, mean, variance = fitted
     bound = (n * (mean + BACKGROUND) / 2).sum()
     return bool(np.maximum(fit, n * BACKGROUND).sum() >= bound - CHANCE * (n * variance).sum() ** 0.5)
-
-
-def _keep(shared, width, last):
-    def run(batches):
-        logs, mean, variance = shared.value
-        logs = logs.T.copy()
-        for batch in batches:
-            for part in slices(batch, "text", CHUNK_BYTES):
-                before = part.column(width).to_pylist() if part.num_columns > width else [None] * part.num_rows
-                found = []
-                for text, held in zip(texts(part.column("text")), before):
-                    held = None if held is None else np.frombuffer(held).reshape(4, -1)
-                    found.append(_fitted(cleaned(text), logs, mean, variance, held) if has_letter(text) else None)
-                if last:
-                    kept = pa.array([f is not None and _known(f) for f in found], pa.bool_())
-                    yield pa.RecordBatch.from_arrays(part.columns[:width], names=part.schema.names[:width]).filter(kept)
-                else:
-                    held = pa.array([None if f is None else f.tobytes() for f in found], pa.binary())
-                    yield pa.RecordBatch.from_arrays([*part.columns[:width], held], names=[*part.schema.names[:width], CARRIED])
-
-    return run

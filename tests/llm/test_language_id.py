@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from printfold.llm.language_id import ROUNDS, SETTLED, UNKNOWN, identify, keep_identified, learn, proportions, train
+from printfold.llm.language_id import ROUNDS, SETTLED, UNKNOWN, Likelihoods, _results, identify, keep_identified, learn, proportions, train
 from printfold.llm.query_language import op2_language_id
 
 FOLDER = "/root/testdata/sf0.01"
@@ -158,3 +158,15 @@ def test_ties_go_to_the_first_language(spark):
     rows = spark.createDataFrame([("some words here", "b"), ("some words here", "a"), ("some words here", "c")], "text string, lang string")
     got = identify(spark.createDataFrame([(1, "words here some")], "doc_id long, text string"), train(rows)).first()
     assert got.lang_pred == "a"
+
+
+def test_a_text_is_judged_in_the_languages_of_its_mixture(spark):
+    first = {"a": "some words here and there ", "b": "ganz andere sachen stehen dort "}
+    rows = spark.createDataFrame([(t * 50, lang) for lang, t in first.items()], "text string, lang string")
+    ((names, shared),) = train(rows)
+    usual = {name: x for name, x in zip(names, zip(*shared.value[1:]))}
+    judged = lambda texts, usual: _results([t.encode() for t in texts], names, Likelihoods(shared.value[0]), None, True, usual)
+    texts = [first["a"], "zzqx kkjw vvpq " * 20, first["a"] + first["b"], "1 2"]
+    assert judged(texts, usual) == [True, False, True, False]
+    # A language that the mixture has not selected tells nothing.
+    assert judged([first["a"]], usual | {"b": (0.0, 1e9)}) == [True] and judged([first["a"]], usual | {"a": (1e3, 0.0)}) == [False]
