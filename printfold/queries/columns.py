@@ -6,7 +6,7 @@ from printfold.functions import predicates as P
 from printfold.functions import scalars as S
 from printfold.operators.children import explode_child
 from printfold.operators.flatten import manifest_rows
-from printfold.operators.fold import count_valid
+from printfold.operators.fold import SLOTS, count_valid
 from printfold.queries.registry import query
 from printfold.schema import COLORS, IMAGE_SIZES, RARITIES, TWO_SIDED_LAYOUTS
 from printfold.sources.images import image_parts
@@ -543,15 +543,27 @@ def q_explode_codes(t):
 )
 def q_explode_text(t):
     """Whole texts to one row per word, summed up per document."""
-    words = explode_child(t.documents.select("doc_id", F.split("text", " ").alias("words")), "words", "word", "words", "doc_id")
-    per_form = words.groupBy("card_id", "word").agg(
-        F.count(F.lit(1)).alias("n"), F.max("id").alias("last")
-    )
-    return per_form.groupBy(F.col("card_id").alias("doc_id")).agg(
-        F.sum("n").alias("words"),
-        F.count(F.lit(1)).alias("forms"),
-        F.max("last").alias("last_id"),
-    )
+    texts = t.documents.select("doc_id", F.split("text", " ").alias("words"))
+    words = explode_child(texts, "words", "word", "words", "doc_id")
+    # Tasks sum up the texts they read, whose words stay there; only documents of several texts send words on.
+    summed = words.groupBy("card_id").agg(F.count(F.lit(1)).alias("words"), F.max("id").alias("last_id"))
+    each = texts.groupBy("doc_id").agg(F.count("words").alias("_texts"), F.max(F.size(F.array_distinct("words"))).cast("long").alias("forms"))
+    forms = each.where("_texts = 1").drop("_texts").unionByName(_shared_forms(texts, each.where("_texts > 1").select("doc_id")))
+    same = F.col("card_id").eqNullSafe(F.col("doc_id"))
+    return summed.join(forms, same).select("doc_id", "words", "forms", "last_id")
+
+
+def _shared_forms(texts, several):
+    """How many different words the texts of some documents have together.
+
+    The documents are dealt to slots, a number of which every task is told first: texts of other slots stay where they are.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("_slot")
+    near = texts.select("*", slot).join(F.broadcast(several.select(slot).distinct()), "_slot")
+    several = several.withColumnRenamed("doc_id", "_id").hint("shuffle_hash")
+    shared = near.join(several, F.col("doc_id").eqNullSafe(F.col("_id")))  # a semi-join would be made before that of the slots
+    forms = explode_child(shared, "words", "word", "words", "doc_id").select("card_id", "word").distinct()
+    return forms.groupBy(F.col("card_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("forms"))
 
 
 @query(

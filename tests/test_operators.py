@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -16,6 +17,7 @@ from printfold.operators.fold import checked, fold_cards, fold_narrow, fold_writ
 from printfold.operators.load import append_prints, read_dimension, replace_children, resolve_key, upsert
 from printfold.operators.media import known_keys, mark_status, orphans, semi_back
 from printfold.operators.skew import hot_keys, salted_join
+from printfold.queries import QUERIES
 from printfold.sources.feed import read_json_array
 
 
@@ -282,3 +284,12 @@ def test_children_keep_duplicates(spark):
     found = explode_child(df, "items", "code", "t", codes={"x": 5}).collect()
     assert Counter((r.card_id, r.code) for r in found) == {("1", 5): 2, ("1", None): 1}
     assert len({r.id for r in found}) == 3
+
+
+def test_words_of_a_text_are_summed_up_where_it_is_read(spark, tmp_path):
+    texts = [(1, "a b a"), (2, "c"), (2, "c d"), (2, None), (3, None), (4, ""), (None, "x y"), (None, "y z"), (5, "e e"), (5, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["q_explode_text"](spark, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.words, r.forms) for r in found.collect()) == [(0, 4, 3), (1, 3, 2), (2, 3, 2), (4, 1, 1), (5, 2, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[card_id#\w+, word#\w+\], functions=\[partial_", plan)
