@@ -7,6 +7,8 @@ import pytest
 from printfold.functions.predicates import has_front, is_valid
 from printfold.operators.flatten import flatten_prints, narrow_prints
 from printfold.operators.fold import checked, fold_cards
+from printfold.queries import streams
+from printfold.queries.registry import Tables
 from printfold.schema import CARDS, CHILDREN, child_schema
 from printfold.session import folder_names
 from printfold.sources.buckets import BucketSnapshot
@@ -135,3 +137,9 @@ def test_a_batch_cut_short_is_written_whole(spark, folder, monkeypatch):
     write(rows, 0)  # recorded: left as it is
     assert spark.read.parquet(f"{path}/batch=0").count() == 2
     assert len(folder_names(spark, f"{path}-digests")) > 0
+
+
+def test_copies_of_parts_do_not_pass_the_driver(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    plan = streams._streamed_feed(tables, tables.lineitem)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
