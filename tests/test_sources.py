@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from printfold.operators.flatten import flatten_prints
 from printfold.schema import CARD_DOC
-from printfold.session import drop_dir, shared_dir, work_dir
+from printfold.session import drop_dir, file_names, shared_dir, work_dir
+from printfold.sources.buckets import BucketSnapshot
 from printfold.sources.feed import read_json_array
 from printfold.sources.images import image_inventory, inventory_of
 from printfold.sources.manifest import read_manifest, read_manifest_text, write_manifest
@@ -148,3 +149,15 @@ def test_folders_go(spark):
     path = work_dir(spark, "gone")
     spark.range(3).write.parquet(path)
     assert drop_dir(spark, path) and not drop_dir(spark, path)
+
+
+def test_stored_tables_are_packed_well(spark, folder):
+    """A store holds every feed row once more, so its size counts."""
+    store = BucketSnapshot(spark, folder("store"), buckets=2)
+    rows = spark.range(10).select(F.col("id").cast("string").alias("id"), F.lit("front").alias("side"), F.lit("a").alias("oracle_id"),
+                                  F.col("id").alias("pos"))
+    assert store.write("plain", rows).count() == 10
+    store.write_buckets("parted", rows, "id", range(2))
+    write_manifest(rows, store.path("manifest"))
+    names = [n for f in ("plain", "parted", "manifest/side=front") for n in file_names(spark, store.path(f))]
+    assert len(names) >= 3 and all(n.endswith(".zstd.parquet") for n in names)
