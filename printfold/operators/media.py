@@ -1,11 +1,14 @@
 """Pictures wanted against pictures present."""
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from printfold.functions.predicates import has_value, only_new
 from printfold.functions.scalars import date_digits, image_name, object_key
-from printfold.operators.skew import salted_join
+from printfold.operators.sieve import sieved
+from printfold.operators.skew import hot_keys, salted_join
 
 PICTURE = ["oracle_id", "sid", "side"]
 
@@ -95,14 +98,76 @@ def orphans(keys: DataFrame, cards: DataFrame, key="oracle_id") -> DataFrame:
 
 
 def integrity_report(manifest: DataFrame, cards: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Missing pictures, and keys that have pictures or lines but no card (``side`` is card)."""
-    nothing = F.lit(None).cast("string")
-    lost = orphans(known_keys(manifest, inventory), cards).select(
-        "oracle_id", nothing.alias("name"), F.lit("card").alias("side"), nothing.alias("sid")
-    )
+    """Missing pictures, and keys that have pictures or lines but no card."""
+    lost = lost_keys(known_keys(manifest, inventory), cards)
     return missing_report(manifest, cards, inventory).unionByName(lost)
 
 
+def card_facts(keys: DataFrame, cards: DataFrame) -> DataFrame:
+    """What the reports need of each key: a row for each of its cards, or one with ``stored`` unset.
+
+    One row of a key is its ``first``; ``any_backed`` tells whether any of its cards has a back.
+    """
+    rows = cards.select("oracle_id", "name", has_value(F.col("back")).alias("backed"), F.lit(True).alias("stored"))
+    own = Window.partitionBy("oracle_id")
+    return keys.join(rows, "oracle_id", "left").withColumns({
+        "first": F.row_number().over(own.orderBy("name")) == 1, "any_backed": F.max("backed").over(own)})
+
+
+def lacking_pictures(manifest: DataFrame, facts: DataFrame, inventory: DataFrame, weights: DataFrame, per_task) -> DataFrame:
+    """Wanted pictures of the keys of ``facts`` that are absent, or for which lines give several urls (``unsettled``).
+
+    A row for each card of the picture's key: ``url`` of the picture's first line, number of ``lines``, and whether the
+    picture is ``to_fetch`` (in one of the rows only) or ``missing`` from this card. Only lines that a card
+    wants cross the network, and once: they are dealt by key, of which ``weights`` (key, rows) are known, a hot key's by
+    picture over several tasks, and meet the pictures there are in the sum of each picture.
+    """
+    hot = F.broadcast(hot_keys(weights, "oracle_id", weights.columns[-1], per_task))  # no more rows than tasks are needed
+    named = reduce(Column.__and__, [F.col(c).isNotNull() for c in PICTURE])  # a null matches nothing
+    there = inventory.where(named).select(*PICTURE, F.lit(True).alias("there"))
+    rows = manifest.select(*PICTURE, "url", "pos").unionByName(there, allowMissingColumns=True)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    front = F.coalesce(F.col("side") == "front", F.lit(False))
+    kinds = facts.where("stored and first").select(
+        "oracle_id", F.explode(F.when(F.col("any_backed"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("_front"))
+    likely = sieved(rows.withColumn("_front", front), kinds, ["oracle_id", "_front"])
+    dealt = likely.join(hot, "oracle_id", "left").select(
+        *rows.columns, F.pmod(F.xxhash64("sid", "side"), salts.cast("long")).cast("int").alias("_salt"))
+    pictures = dealt.repartition("oracle_id", "_salt").groupBy("oracle_id", "_salt", "sid", "side").agg(
+        F.min_by("url", "pos").alias("url"), F.min("url").alias("_low"), F.max("url").alias("_high"),
+        F.count_if(F.col("there").isNull()).alias("lines"), F.max("there").alias("_there"))
+    parts = facts.join(hot, "oracle_id", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    absent, once = F.col("_there").isNull(), F.col("first") & (front | F.col("any_backed"))
+    flags = {
+        "to_fetch": absent & once,
+        "missing": absent & (front | F.col("backed")),
+        "unsettled": once & F.coalesce(F.col("_low") != F.col("_high"), F.lit(False)),
+    }
+    found = pictures.where("lines > 0").join(parts.where("stored").drop("_salts"), ["oracle_id", "_salt"])
+    flagged = found.select(*PICTURE, "url", "name", "lines", *[c.alias(n) for n, c in flags.items()])
+    return flagged.where("to_fetch or missing or unsettled")
+
+
+def fetch_list_of(lacking: DataFrame, cards: DataFrame, inventory: DataFrame) -> DataFrame:
+    """``fetch_list`` of the keys that ``lacking_pictures`` was asked about."""
+    rows = lacking.where("to_fetch").select(*PICTURE, "url")
+    return rows.unionByName(missing_art(cards, inventory)).withColumn("file", source_file())
+
+
+def integrity_report_of(lacking: DataFrame, cards: DataFrame, inventory: DataFrame, held: DataFrame) -> DataFrame:
+    """``integrity_report`` of the keys that ``lacking_pictures`` was asked about; ``held`` have lines or pictures."""
+    columns = ["oracle_id", "name", "side", "sid"]
+    each = F.explode(F.sequence(F.lit(1).cast("long"), "lines")).alias("_line")
+    lines = lacking.where("missing").select(*columns, each).drop("_line")
+    return lines.unionByName(missing_art(cards, inventory, "name").select(*columns)).unionByName(lost_keys(held, cards))
+
+
+def lost_keys(held: DataFrame, cards: DataFrame) -> DataFrame:
+    """Keys that have pictures or lines but no card, as rows of the report (``side`` is card)."""
+    nothing = F.lit(None).cast("string")
+    return orphans(held, cards).select("oracle_id", nothing.alias("name"), F.lit("card").alias("side"), nothing.alias("sid"))
+
+
 def upload_list(manifest: DataFrame, cards: DataFrame) -> DataFrame:
     """New pictures, and the art of every card with art, with source file and target key.
 

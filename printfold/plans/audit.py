@@ -5,11 +5,12 @@ since its last round, and is read with ``read_report``. Each keeps to a folder o
 
 Every row of a report depends on the lines, card and pictures of one key alone. A round therefore sums hashes of
 what the reports read of each key, in one pass that folds inside every task first, and audits anew only keys
-whose sums differ from those of their last round. It writes what those keys have now and nothing else; a key's
-rows are those of the last round it was in. ``compact_reports`` makes one round of all.
+whose sums differ from those of their last round. The lines of those keys are moved once: what is lacking is written
+beside the reports for as long as a round takes, and all reports are made from it. A round writes what its keys have
+now and nothing else; a key's rows are those of the last round it was in. ``compact_reports`` makes one round of all.
 
 Sums do not tell in which order lines come. That only matters to a picture that lines give several urls,
-of which the first counts: a key with such a picture is audited in every round.
+of which the first counts: a key whose card wants such a picture is audited in every round.
 """
 
 from functools import reduce
@@ -17,10 +18,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from printfold.operators.media import PICTURE, fetch_list, integrity_report
+from printfold.operators.media import card_facts, fetch_list, fetch_list_of, integrity_report, integrity_report_of, lacking_pictures
+from printfold.operators.sieve import sieved
 from printfold.session import drop_dir, work_dir
 from printfold.sources.images import no_images
-from printfold.sources.store import Snapshot, purge, read_table, table_path, versions, write_snapshot
+from printfold.sources.store import CODEC, Snapshot, purge, read_table, table_path, versions, write_snapshot
 
 KEY = "oracle_id"
 SUMS = ["s0", "s1", "s2", "s3"]
@@ -29,6 +31,7 @@ REPORTS = {
     "integrity_report": "oracle_id string, name string, side string, sid string",
 }
 AUDITED = f"oracle_id string, {', '.join(f'{s} long' for s in SUMS)}, unsettled boolean"
+PER_TASK = 1 << 20  # lines and pictures of a key that one task takes
 WHOLE, CHANGES = "whole", "changes"  # what a round holds: all keys, or those that changed
 
 
@@ -52,24 +55,22 @@ def _halves(seed: int, kind: str, columns) -> list:
 
 
 def contents(manifest: DataFrame, cards: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(oracle_id, sums) over all that a report reads of a key; 128 bits of hashes, whatever the order of rows."""
+    """(oracle_id, sums, held) over all that a report reads of a key; 128 bits of hashes, whatever the order of rows.
+
+    ``held`` is the number of a key's lines and pictures.
+    """
 
     def hashed(rows, kind, *columns):
         halves = [half for seed in (1, 2) for half in _halves(seed, kind, columns)]
-        return rows.select(KEY, *[half.alias(name) for half, name in zip(halves, SUMS)])
+        held = F.lit(0 if kind == "card" else 1).alias("held")
+        return rows.select(KEY, *[half.alias(name) for half, name in zip(halves, SUMS)], held)
 
     rows = [
         hashed(manifest, "line", "sid", "side", "url"),
         hashed(cards, "card", "name", "back", "art"),
         hashed(inventory, "picture", "sid", "side"),
     ]
-    return reduce(DataFrame.unionByName, rows).groupBy(KEY).agg(*[F.sum(s).alias(s) for s in SUMS])
-
-
-def unsettled_keys(manifest: DataFrame) -> DataFrame:
-    """Keys with a picture for which lines give several urls."""
-    urls = manifest.groupBy(*PICTURE).agg(F.min("url").alias("low"), F.max("url").alias("high"))
-    return urls.where("low <> high").select(KEY).distinct()
+    return reduce(DataFrame.unionByName, rows).groupBy(KEY).agg(*[F.sum(s).alias(s) for s in (*SUMS, "held")])
 
 
 def _rounds(spark: SparkSession, reports: str) -> list:
@@ -102,7 +103,10 @@ def read_report(spark: SparkSession, reports: str, name: str, rounds: list = Non
     rows = _read_rounds(spark, reports, rounds, name, REPORTS[name])
     if len(rounds) > 1:
         last = audited_keys(spark, reports, rounds).select(KEY, "round")
-        rows = rows.join(last, [KEY, "round"], "left_semi")
+        # No round is later than a key's last. An inequality leaves the join to the key alone, on which a reader may go
+        # on joining without moving the rows again.
+        rows = sieved(rows, last, [KEY, "round"]).join(last.withColumnRenamed("round", "_last"), KEY)
+        rows = rows.where("round >= _last").drop("_last")
     return rows.drop("round")
 
 
@@ -111,6 +115,11 @@ def _differs() -> Column:
     return ~same | F.coalesce(F.col("unsettled"), F.lit(False))
 
 
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path, compression=CODEC)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def audit_changes(spark: SparkSession, store: str, reports: str, inventory: DataFrame = None) -> int:
     """Audit the keys of which anything changed since the last round; returns the number of the last round.
 
@@ -123,23 +132,24 @@ def audit_changes(spark: SparkSession, store: str, reports: str, inventory: Data
     snapshot = Snapshot(spark, reports, source=CHANGES)
     before = audited_keys(spark, reports).drop("round").withColumnsRenamed({s: f"_{s}" for s in SUMS})
     both = contents(manifest, cards, present).join(before, KEY, "full")
-    path = work_dir(spark, "changed")
-    both.where(_differs()).select(KEY, *SUMS).write.parquet(path)
-    changed = spark.read.parquet(path)
+    work = work_dir(spark, "audit")
+    changed = _kept(both.where(_differs()).select(KEY, *SUMS, "held"), f"{work}/changed")
     if not changed.isEmpty():
-        keys = changed.select(KEY)
-        lines, stored, pictures = (t.join(keys, KEY, "left_semi") for t in (manifest, cards, present))
-        unsettled = unsettled_keys(lines).withColumn("unsettled", F.lit(True))
-        audited = changed.join(unsettled, KEY, "left").withColumn("unsettled", F.coalesce("unsettled", F.lit(False)))
+        keys, weights = changed.select(KEY), changed.select(KEY, "held")
+        lacking = _kept(lacking_pictures(manifest, card_facts(keys, cards), present, weights, PER_TASK), f"{work}/lacking")
+        stored = cards.join(keys, KEY, "left_semi")
+        held = changed.where(F.col(KEY).isNotNull() & (F.col("held") > 0))
+        unsettled = lacking.where("unsettled").select(KEY, "unsettled").distinct()
+        audited = changed.drop("held").join(unsettled, KEY, "left").withColumn("unsettled", F.coalesce("unsettled", F.lit(False)))
         tables = {
-            "fetch_list": fetch_list(lines, stored, pictures),
-            "integrity_report": integrity_report(lines, stored, pictures),
+            "fetch_list": fetch_list_of(lacking, stored, present),
+            "integrity_report": integrity_report_of(lacking, stored, present, held),
             "audited": audited,
         }
         number = F.lit(snapshot.version).cast("long")
         snapshot.write_all({name: rows.withColumn("round", number) for name, rows in tables.items()})
         snapshot.commit()
-    drop_dir(spark, path)
+    drop_dir(spark, work)
     return (_rounds(spark, reports) or [0])[-1]
 
 

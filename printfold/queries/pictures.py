@@ -322,7 +322,10 @@ def q_audit_rounds(t):
             (lines, stored, None), (lines, stored, pictures), (left, renamed, pictures), (left, renamed, pictures)):
         write_snapshot(t.spark, {"cards": cards, "manifest": _line_manifest(manifest)}, store)
         audit_changes(t.spark, store, reports, present)
-    missing, fetch = (read_report(t.spark, reports, name) for name in ("integrity_report", "fetch_list"))
-    rows = missing.select(F.lit("missing").alias("report"), "oracle_id", "side", "sid", F.col("name").alias("detail")).unionByName(
-        fetch.select(F.lit("fetch").alias("report"), "oracle_id", "side", "sid", F.col("url").alias("detail")))
-    return rows.join(audited_keys(t.spark, reports).select("oracle_id", "round"), "oracle_id")
+    last = audited_keys(t.spark, reports).select("oracle_id", "round")
+
+    def report(name, table, detail):
+        rows = read_report(t.spark, reports, table).select("oracle_id", "side", "sid", F.col(detail).alias("detail"))
+        return rows.join(last, "oracle_id").select(F.lit(name).alias("report"), "oracle_id", "side", "sid", "detail", "round")
+
+    return report("missing", "integrity_report", "name").unionByName(report("fetch", "fetch_list", "url"))

@@ -1,13 +1,19 @@
 """Reports audited by changes against the audit of everything."""
 
+import random
+import sys
+
 import pytest
+from pyspark.sql import functions as F
 
-from printfold.operators.media import fetch_list, integrity_report
+from printfold.operators import sieve
+from printfold.operators.media import card_facts, fetch_list, integrity_report, lacking_pictures
 from printfold.plans import audit_changes, compact_reports, read_report
 from printfold.plans.audit import audited_keys, contents
 from printfold.session import folder_names
 from printfold.sources.store import Snapshot, write_snapshot
 
+audit_plan = sys.modules["printfold.plans.audit"]  # the package has a function of that name
 MANIFEST = "oracle_id string, sid string, side string, url string, pos int"
 CARDS = "oracle_id string, name string, back string, art string"
 PICTURES = "oracle_id string, sid string, side string"
@@ -123,3 +129,46 @@ def test_keys_are_summed_before_the_shuffle(rounds):
     plan = contents(*rounds.tables)._jdf.queryExecution().executedPlan().toString()
     above, below = plan.split("Exchange", 1)
     assert "partial_sum" in below and "Exchange" not in below and "partial_sum" not in above
+
+
+def test_lines_of_a_round_are_moved_once(rounds):
+    """The reports of a round moved all lines three times, each on its own."""
+    rounds.round(LINES, STORED, [])
+    manifest, cards, pictures = rounds.tables
+    keys = contents(*rounds.tables).select("oracle_id", "held")
+    spark, before = rounds.spark, rounds.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        found = lacking_pictures(manifest, card_facts(keys.select("oracle_id"), cards), pictures, keys, 2)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [line for line in plan.splitlines() if " Exchange hash" in line and "_salt#" in line]
+    assert len(moved) == 2 and sum("REPARTITION_BY_COL" in line for line in moved) == 1
+    # Neither are lines moved that no card wants.
+    wanted = [(r.oracle_id, r.sid, r.side) for r in found.where("to_fetch").collect()]
+    assert sorted(wanted) == [("a", "1", "back"), ("a", "1", "front"), ("a", "2", "front"), ("b", "3", "front"), ("c", "4", "front")]
+
+
+@pytest.mark.parametrize("per_task", [1, 3, 1 << 20])
+def test_hot_keys_keys_with_several_cards_and_nulls(rounds, monkeypatch, per_task):
+    monkeypatch.setattr(audit_plan, "PER_TASK", per_task)
+    rng = random.Random(per_task)
+    key = lambda: "hot" if rng.random() < 0.5 else f"k{rng.randrange(8)}"
+    sides, sids = ["front", "back", "other", None], [*map(str, range(9)), None]
+    lines = [(key(), rng.choice(sids), rng.choice(sides), rng.choice(["u", "v", "", None]), n) for n in range(300)]
+    cards = [(key(), rng.choice(["N", "M", None]), rng.choice(["b", "", None]), rng.choice(["a", None])) for _ in range(9)]
+    pictures = [(key(), rng.choice(sids), rng.choice([*sides, "art"])) for _ in range(60)]
+    for lines, cards, pictures in ((lines, cards, []), (lines, cards, pictures), (lines[40:], cards[1:] * 2, pictures[5:])):
+        rounds.round(lines, cards, pictures)
+        rounds.check()
+
+
+def test_sieve_loses_no_match(spark, monkeypatch):
+    monkeypatch.setattr(sieve, "BITS", 1 << 17)
+    rows = spark.range(60_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).alias("round"))
+    keys = rows.where("cast(k as int) % 30 = 0")
+    left = sieve.sieved(rows, keys, ["k", "round"])
+    assert left.columns == rows.columns and left.join(keys, ["k", "round"]).count() == 2000
+    assert 2000 <= left.count() < 4000
+    assert sieve.sieved(rows, keys.limit(0), ["k", "round"]).isEmpty()
