@@ -4,21 +4,24 @@ import json
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from printfold.operators.children import explode_child
-from printfold.functions.predicates import has_front
+from printfold.functions.predicates import has_front, is_valid
 from printfold.operators.flatten import narrow_prints
 from printfold.operators import fold as operators_fold
-from printfold.operators.fold import checked, fold_cards, fold_narrow, fold_written, group_ordered
+from printfold.operators.fold import checked, fold_cards, fold_feed, fold_narrow, fold_written, group_ordered
 from printfold.operators.load import append_prints, read_dimension, replace_children, resolve_key, upsert
 from printfold.operators.media import known_keys, mark_status, orphans, semi_back
 from printfold.operators.skew import hot_keys, salted_join
-from printfold.queries import QUERIES
+from printfold.queries import QUERIES, catalogue
+from printfold.schema import FEED
 from printfold.sources.feed import read_json_array
+from printfold.sources.store import read_table
 
 
 def rows(df):
@@ -135,6 +138,15 @@ def test_cards_that_share_a_slot(spark, tmp_path, monkeypatch, slots):
     assert rows(found.select(*wanted.columns)) == rows(wanted)
 
 
+def test_feed_to_cards_stores_no_value_twice(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "work_dir", lambda *_: str(tmp_path / "kept"))
+    written_prints(spark, tmp_path, 5)
+    raw = read_json_array(spark, str(tmp_path / "feed"))
+    found, wanted = catalogue.cards(SimpleNamespace(spark=spark), raw), fold_feed(raw.where(is_valid()))
+    assert rows(found) == rows(wanted.select(*found.columns)) and rows(found)
+    assert read_table(spark, str(tmp_path / "kept"), "printings", version=1).columns == [*FEED.fieldNames(), "pos"]
+
+
 def test_printing_without_key_fails(spark):
     df = spark.createDataFrame(
         [(None, "s", "2020-01-01", 1.0, 1.0, 1)],
