@@ -22,7 +22,9 @@ from printfold.llm.jaccard_join import one_of_each
 from printfold.llm.language_id import keep_identified, train
 from printfold.llm.query_mixing import mixed
 from printfold.llm.sanitise import sanitise
-from printfold.session import work_dir
+from printfold.session import in_files, work_dir
+
+FILE_TEXTS = 2_000  # of the mix in a file
 
 
 def language(spark, docs, sf_dir):
@@ -60,7 +62,7 @@ def mixing(spark, docs, sf_dir):
     added = ("domain", "n_tokens", "epochs", "extra_tokens")
     rows = docs.drop(*added).withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
     same = rows["doc_id"].eqNullSafe(taken["_id"]) & (rows["_key"] == taken["_tie"])
-    return rows.join(taken, same).drop("_id", "_tie", "_key")
+    return in_files(rows.join(taken, same).drop("_id", "_tie", "_key"), docs.count(), FILE_TEXTS)
 
 
 STAGES = [

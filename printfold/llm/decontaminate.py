@@ -35,7 +35,7 @@ WINDOW, SUBSTITUTIONS, SHORTEST = 13, 2, 5
 # Places that each mask selects.
 MASKS = ((0, 1, 2, 3, 5, 6, 7), (0, 1, 4, 7, 8, 9, 10), (0, 3, 4, 5, 7, 10, 11))
 PART_TOKENS = 2_000_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES, TABLE_WORDS = 4 << 20, 100_000
 SEGMENT = 100_000  # tokens of an item in one part
 HITS = 500_000  # compared at once, but never less than one item's
 NO_TOKEN = 0xFFFFFFFF  # a word without letters or digits
@@ -105,7 +105,7 @@ class Index:
             t = token(word)
             return get(t, 0) if t else NO_TOKEN
 
-        return Table(rule)
+        return Table(rule, TABLE_WORDS)
 
     def find(self, docs: list, table: Table):
         """(document, item, token place in document, matches) of every window that agrees, in parts.

@@ -30,15 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from printfold.llm.components import components
-from printfold.llm.words import hash_table, slices, texts, values
-from printfold.session import work_dir
+from printfold.llm.words import Table, slices, texts, values
+from printfold.session import in_files, work_dir
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, ROWS, STEP = 32, 4, 16
 HASHES = BANDS * ROWS
 SKETCH_ROWS = 4096  # of a block of sketches, a few hundred bytes each
 BLOCK_ROWS, BLOCK_CHARS = 512, 4_000_000  # of a block of whole texts
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES, TABLE_WORDS = 2 << 20, 100_000
+FILE_ROWS, FILE_TEXTS = 10_000, 2_000  # of classes and of whole texts in a file
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,6 +51,10 @@ FACTORS, TERMS = _numbers(b"factor", HASHES), _numbers(b"term", HASHES)
 PLACES = _numbers(b"place", WORDS)
 
 
+def hash_table():
+    return Table(xxhash.xxh3_64_intdigest, TABLE_WORDS)
+
+
 def shingles(text: bytes, table) -> np.ndarray:
     """Distinct shingle hashes of a text, sorted."""
     h = values(text, table, np.uint64)
@@ -303,11 +308,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     sketched = _written(spark, sketches(docs))
-    found = _written(spark, classes(sketched))
-    labels = components(candidate_edges(found))
-    checked = _written(spark, verified(docs, found, labels))
+    n = sketched.count()
+    found = _written(spark, in_files(classes(sketched), n, FILE_ROWS))
+    labels = components(candidate_edges(found), n)
+    checked = _written(spark, in_files(verified(docs, found, labels), n, FILE_ROWS, moved=True))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    final = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    final = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")), n)
     named = found.join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = named.groupBy("label").agg(F.min("keeper").alias("first"))
     named = named.join(first, "label").join(links, "node", "left").select(
@@ -334,4 +340,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keys = near_duplicates(docs).where("keeps").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     rows = docs.withColumn("_key2", F.xxhash64("text"))
     kept = rows.join(keys, rows["doc_id"].eqNullSafe(keys["_id"]) & (rows["_key2"] == keys["_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key2"]).select(*docs.columns)
+    return in_files(kept.dropDuplicates(["doc_id", "_key2"]), docs.count(), FILE_TEXTS).select(*docs.columns)

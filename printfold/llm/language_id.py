@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from printfold.llm.words import pieces, slices, texts
-from printfold.session import drop_dir, work_dir
+from printfold.session import drop_dir, in_files, work_dir
 
 BUCKETS, SLICES, GROUP = 1 << 16, 64, 256
 SMOOTHING, ROUNDS, SETTLED = 0.5, 100, 0.01
-CHUNK_BYTES, TABLE_WORDS = 1 << 20, 300_000
+CHUNK_BYTES, TABLE_WORDS = 1 << 20, 100_000
 UNKNOWN = "und"
 BACKGROUND, CHANCE = -float(np.log(BUCKETS)), 2.0  # log likelihood of a trigram in no language; deviations
 MIX = np.uint32(0x9E3779B1)
@@ -69,9 +69,10 @@ def train(rows: DataFrame, group=GROUP) -> list:
     path = work_dir(spark, "languages")
     parts = rows.where("text is not null and lang is not null").select("text", "lang").mapInArrow(
         _count, "lang string, slice int, counts binary")
-    parts.groupBy("lang", "slice").applyInArrow(_sum, "lang string, slice int, counts binary").write.parquet(path)
-    sums = spark.read.schema("lang string, slice int, counts binary").parquet(path)
     names = sorted(r.lang for r in rows.where("lang is not null").select("lang").distinct().collect())
+    counted = parts.groupBy("lang", "slice").applyInArrow(_sum, "lang string, slice int, counts binary")
+    in_files(counted, len(names) * SLICES, SLICES).write.parquet(path)
+    sums = spark.read.schema("lang string, slice int, counts binary").parquet(path)
     groups = []
     for start in range(0, len(names), group):
         mine = names[start: start + group]

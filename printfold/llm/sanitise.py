@@ -29,8 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from printfold.llm.bits import maybe_among
-from printfold.session import work_dir
+from printfold.session import in_files, work_dir
 
+FILE_TEXTS, FILE_KEYS = 2_000, 50_000  # whole texts, or numbers, in a file
 KINDS = ("email", "ip", "card", "phone")
 WORD = "word"
 AROUND, SUPPORT, EVIDENCE, GENERALISE, REMOVE = 5, 2, 1.0, 0.7, 0.9
@@ -151,7 +152,8 @@ def term_contexts(found: DataFrame, around=AROUND) -> DataFrame:
     masked = F.transform("_base", lambda m: m.withField("kind", F.lit("|")))
     context = lambda t, i: F.struct(t.alias("term"), F.xxhash64(F.slice(
         "_all", F.greatest(i - around, F.lit(0)) + 1, F.least(i, F.lit(around)) + around + 1)).alias("context"))
-    rows = _written(spark, texts.select("_tie", "entities", terms_of(redact(F.col("_text"), masked)).alias("_all")))
+    terms = texts.select("_tie", "entities", terms_of(redact(F.col("_text"), masked)).alias("_all"))
+    rows = _written(spark, in_files(terms, found.count(), FILE_TEXTS))
     rows = _written(spark, rows.select("_tie", "entities", F.sort_array(F.transform("_all", context)).alias("_all")))
     first = F.filter("_all", lambda t, i: (i == 0) | (t["term"] != F.get("_all", i - 1)["term"]))
     return rows.select("_tie", "entities", first.alias("terms"))
@@ -159,7 +161,8 @@ def term_contexts(found: DataFrame, around=AROUND) -> DataFrame:
 
 def distinct_texts(keyed: DataFrame) -> DataFrame:
     """(_text) of every distinct text. Only texts that may be there several times are shuffled."""
-    repeated = _written(keyed.sparkSession, keyed.groupBy("_tie").count().where("count > 1").select("_tie"))
+    repeated = keyed.groupBy("_tie").count().where("count > 1").select("_tie")
+    repeated = _written(keyed.sparkSession, in_files(repeated, keyed.count(), FILE_KEYS))
     several = maybe_among(repeated, "_tie")
     once = keyed.where(several).groupBy("_tie").agg(F.first("_text").alias("_text"))
     return keyed.where(~several).select("_text").unionByName(once.select("_text"))
@@ -178,7 +181,7 @@ def disclosing(keyed: DataFrame, contexts: DataFrame, support=SUPPORT, evidence=
         F.count("*").alias("n_term"))
     # At most n(e) texts have both, so words with more texts than this cannot reach the least disclosure.
     most = lambda n: n * F.pow(total / n, F.lit(1.0 - generalise)) + 0.5
-    bound = _written(spark, known).select(F.explode("entities").alias("e")).agg(F.max(most(F.col("e.n_entity")))).first()[0]
+    bound = _written(spark, in_files(known, contexts.count(), FILE_KEYS)).select(F.explode("entities").alias("e")).agg(F.max(most(F.col("e.n_entity")))).first()[0]
     words = contexts.join(known.withColumnRenamed("entities", "known"), "_tie").select("known", F.explode("terms").alias("t"))
     words = words.select("known", "t.term", "t.context").join(n_term.where(F.col("n_term") <= (bound or 0)), "term")
     pairs = words.select("term", "context", "n_term", F.explode("known").alias("e")).where(F.col("n_term") <= most(F.col("e.n_entity")))
@@ -198,7 +201,8 @@ def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, evidence=EVIDENC
     keyed = with_key(docs)
     found = _written(spark, mentions(keyed))
     contexts = _written(spark, term_contexts(found, around))
-    telling = _written(spark, disclosing(keyed, contexts, support, evidence, generalise))
+    told = disclosing(keyed, contexts, support, evidence, generalise)
+    telling = _written(spark, in_files(told, contexts.count(), FILE_KEYS, moved=True))
     own = contexts.select("_tie", "entities", F.explode("terms.term").alias("term"))
     told = own.join(telling, "term").where(F.array_contains("entities", F.col("entity"))).groupBy("_tie").agg(
         F.collect_set("term").alias("_terms"),
@@ -214,7 +218,8 @@ def with_spans(docs: DataFrame, around=AROUND, support=SUPPORT, evidence=EVIDENC
     added = F.transform(free, lambda h: F.struct(
         h["start"].alias("start"), h["end"].alias("end"),
         F.when(removed(h), F.lit(WORD)).otherwise(F.lit(f"{WORD}-shape")).alias("kind"), h["hit"].alias("hit")))
-    return rows.withColumn("added", added).drop("_id", "_tie", "_terms", "_removed")
+    rows = in_files(rows.withColumn("added", added), keyed.count(), FILE_TEXTS)
+    return rows.drop("_id", "_tie", "_terms", "_removed")
 
 
 def _written(spark, df: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ from test_jaccard_join import plain as plain_classes
 from test_sanitise import PATTERNS, valid
 
 import corpus_pipeline as pipeline
+from printfold import session
+from printfold.llm.jaccard_join import one_of_each
 from printfold.llm.queries import QUERIES, SQL
+from printfold.llm.sanitise import sanitise
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -113,3 +116,24 @@ def test_language_learns_from_every_label(spark, raw):
     rare = spark.createDataFrame([(i, text, "ru", "src0", len(text)) for i in ids], raw.schema)
     kept = pipeline.language(spark, raw.unionByName(rare), FOLDER)
     assert {r.doc_id for r in kept.where("lang = 'ru'").collect()} == set(ids)
+
+
+def test_files_follow_the_rows(spark, make, tmp_path, monkeypatch):
+    # Shuffles of many partitions must not leave a file for each of them.
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "kept"))
+    texts = [" ".join(f"w{(7 * i + k) % 40}" for k in range(20)) + f" a{i % 30}@b{i % 5}.example" for i in range(300)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:50]])]
+    docs = make(rows)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, value in zip(names, ("40", "false")):
+            spark.conf.set(n, value)
+        few = [one_of_each(docs), sanitise(docs)]
+        for n, kept in enumerate(few):
+            kept.write.parquet(str(tmp_path / f"kept/out-{n}"))
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+    files = {f.name: len(list(f.glob("part-*"))) for f in (tmp_path / "kept").iterdir()}
+    assert files and max(files.values()) <= max(session.LEAST_FILES, docs.rdd.getNumPartitions()), files
