@@ -138,6 +138,25 @@ def test_cards_that_share_a_slot(spark, tmp_path, monkeypatch, slots):
     assert rows(found.select(*wanted.columns)) == rows(wanted)
 
 
+def test_only_winners_rows_move(spark, tmp_path):
+    # All cards in one slot, so that its lowest winner holds hardly any row back.
+    prints = written_prints(spark, tmp_path, 9)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(operators_fold, "SLOTS", 1)
+        cards = fold_written(prints)
+        cards.collect()
+    plan = cards._jdf.queryExecution().executedPlan()
+    moved, found = [], [plan]
+    while found:
+        node = found.pop()
+        if node.nodeName() == "Exchange" and "hashpartitioning(pointer" in node.outputPartitioning().toString():
+            moved.append(node.metrics().apply("shuffleRecordsWritten").value())
+        inner = {"AdaptiveSparkPlan": "executedPlan", "ResultQueryStage": "plan", "ShuffleQueryStage": "plan"}.get(node.nodeName())
+        below = node.children()
+        found += [getattr(node, inner)()] if inner else [below.apply(i) for i in range(below.size())]
+    assert len(moved) == 2 and all(61 <= n <= 70 for n in moved), moved
+
+
 def test_feed_to_cards_stores_no_value_twice(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalogue, "work_dir", lambda *_: str(tmp_path / "kept"))
     written_prints(spark, tmp_path, 5)
