@@ -15,7 +15,7 @@ from printfold.sources.buckets import BucketSnapshot
 from printfold.sources.feed import read_json_array, stream_json_array
 from printfold.sources.prints import existing_prints
 from printfold.sources.store import current_version, read_table, write_snapshot
-from printfold.streaming.fold import compact, fold_stream, read_folded, write_changes, write_differing
+from printfold.streaming.fold import compact, fold_stream, later_of, read_folded, write_changes, write_differing
 from printfold.streaming.load import append_print_batches, load_changes
 
 BASE = "https://pictures.example/cards"
@@ -143,3 +143,26 @@ def test_copies_of_parts_do_not_pass_the_driver(spark):
     tables = Tables(spark, "/root/testdata/sf0.001")
     plan = streams._streamed_feed(tables, tables.lineitem)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_placed_stream_carries_no_feed_row_through_its_state(spark, parts, folder):
+    rows = stream_json_array(spark, parts, files_per_batch=1).where(is_valid())
+    query = write_changes(fold_stream(rows), folder("out"), folder("checkpoint"), buckets=2)
+    query.awaitTermination()
+    assert len(query.recentProgress) == 3 and not any(p["stateOperators"] for p in query.recentProgress)
+    state = read_table(spark, folder("checkpoint") + "/cards", "cards")
+    assert {"pos", "batch"} < set(state.columns) and "element" not in state.columns
+    folded = read_folded(spark, folder("out"), ["oracle_id"])
+    assert comparable(state.drop("pos", "batch")) == comparable(folded)
+    assert folded.count() == 8
+
+
+def test_state_takes_the_later_place_and_the_lower_price(spark):
+    schema = "oracle_id string, sid string, date string, price double, tix double, pos struct<file:string,row:long>, batch long"
+    cards = lambda *rows: spark.createDataFrame([(k, s, d, p, t, ("f", r), b) for k, s, d, p, t, r, b in rows], schema)
+    old = cards(("a", "a0", "2020-01-01", 5.0, None, 7, 0), ("b", "b0", "no date", 5.0, 1.0, 7, 0), ("c", "c0", "2020-01-01", 1.0, 1.0, 1, 0),
+                ("e", "e0", "2020-01-01", 2.0, None, 1, 0))
+    new = cards(("a", "a1", "2020-01-01", 9.0, 2.0, 6, 1), ("b", "b1", "1990-01-01", None, 3.0, 1, 1), ("c", "c1", "2020-01-01", 2.0, 0.5, 2, 1),
+                ("d", "d1", None, None, None, 1, 1))
+    got = {r.oracle_id: (r.sid, r.price, r.tix, r.batch) for r in later_of(old, new).collect()}
+    assert got == {"a": ("a0", 5.0, 2.0, 1), "b": ("b1", 5.0, 1.0, 1), "c": ("c1", 1.0, 0.5, 1), "d": ("d1", None, None, 1), "e": ("e0", 2.0, None, 0)}
