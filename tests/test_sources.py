@@ -7,11 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from printfold.operators.flatten import flatten_prints
-from printfold.schema import CARD_DOC
+from printfold.operators.media import mark_status
+from printfold.plans import ingest
+from printfold.queries.catalogue import lines_with_parts, printings
+from printfold.queries.registry import Tables
+from printfold.schema import CARD_DOC, FEED
 from printfold.session import drop_dir, file_names, shared_dir, work_dir
 from printfold.sources.buckets import BucketSnapshot
-from printfold.sources.feed import read_json_array
-from printfold.sources.images import image_inventory, inventory_of
+from printfold.sources.feed import parse_elements, read_json_array
+from printfold.sources.images import image_inventory, inventory_of, no_images
 from printfold.sources.manifest import read_manifest, read_manifest_text, write_manifest
 from printfold.sources.store import (
     Snapshot,
@@ -161,3 +165,31 @@ def test_stored_tables_are_packed_well(spark, folder):
     write_manifest(rows, store.path("manifest"))
     names = [n for f in ("plain", "parted", "manifest/side=front") for n in file_names(spark, store.path(f))]
     assert len(names) >= 3 and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_lines_of_the_feed_in_any_form(spark):
+    lines = ["[", '{"id":"a"},', ' [{"id":"b"}],', '{"id":"c"},{"id":"d"},', '{"id":"é"} ,', "", "\ufeff[", '{"id":"e"}', "]"]
+    rows = spark.createDataFrame(list(enumerate(lines)), "row int, text string")
+    got = parse_elements(rows, "text").select("id", "pos.row", "pos.item").collect()
+    assert sorted(tuple(r) for r in got) == [("a", 1, 0), ("b", 2, 0), ("c", 3, 0), ("d", 3, 1), ("e", 7, 0), ("é", 4, 0)]
+
+
+def test_no_pictures_move_no_row(spark):
+    lines = spark.range(9).selectExpr("cast(id AS string) AS oracle_id", "'s' AS sid", "'front' AS side")
+    marked = mark_status(lines, no_images(spark))
+    assert no_images(spark).columns == ["oracle_id", "sid", "side"] and no_images(spark).isEmpty()
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert {r.status for r in marked.collect()} == {"new"} and marked.count() == 9
+
+
+def test_store_keeps_no_value_of_a_printing_twice(spark, feed, folder):
+    ingest(spark, feed, folder("store"))
+    stored = read_table(spark, folder("store"), "printings")
+    assert stored.columns == [*FEED.fieldNames(), "front", "back", "price", "tix", "pos"]
+
+
+def test_feed_rows_format_a_date_once(spark):
+    lines = lines_with_parts(Tables(spark, "/root/testdata/sf0.001"))
+    plan = printings(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format(") <= 2
